@@ -12,8 +12,6 @@ label 1 (0.5 without labels). Other columns are not read: labels, language, sour
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,14 +82,31 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.raw(text) + self.shift, -500, 500))))
 
 
-def telling_terms(sets: list[set[int]], labels: np.ndarray, most: int) -> list[int]:
+def text_terms(texts: list[bytes]) -> list[np.ndarray]:
+    """The distinct terms of each text, packed: a sample's terms take four bytes each."""
+    known: dict[bytes, list[int]] = {}
+    out = []
+    for text in texts:
+        own: list[int] = []
+        for w in set(words_of(text)):
+            terms = known.get(w)
+            if terms is None:
+                if len(known) >= MEMORY // 4:
+                    known.clear()
+                terms = known[w] = word_terms(w)
+            own += terms
+        out.append(np.unique(np.array(own, dtype=np.uint32)))
+    return out
+
+
+def telling_terms(sets: list[np.ndarray], labels: np.ndarray, most: int) -> list[int]:
     """The terms whose shares in the two labels differ most, by a two-proportion z value."""
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
-    ones, zeros = Counter(), Counter()
+    counts = np.zeros((2, 1 << BITS), dtype=np.int32)
     for s, y in zip(sets, labels, strict=True):
-        (ones if y else zeros).update(s)
-    terms = np.array([t for t in set(ones) | set(zeros) if ones[t] + zeros[t] >= SUPPORT], dtype=np.int64)
-    a, b = np.array([ones[t] for t in terms.tolist()], dtype=float), np.array([zeros[t] for t in terms.tolist()], dtype=float)
+        counts[int(y), s] += 1
+    terms = np.flatnonzero(counts.sum(axis=0) >= SUPPORT)
+    a, b = counts[1, terms].astype(float), counts[0, terms].astype(float)
     p = (a + b) / (n1 + n0)
     z = np.abs(a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
     order = np.lexsort((terms, -z))
@@ -128,11 +143,11 @@ def fit(texts: list[bytes], labels: list[int], counts: dict[int, int]) -> Model:
         return Model([], 0.0, np.zeros(0), np.zeros((0, RANK)), 1.0, float(np.log(share / (1 - share))))
     weight = np.where(y == 1, counts[1] / total / y.sum(), counts[0] / total / (len(y) - y.sum()))
     own = np.arange(len(y)) % 4 != 3
-    sets = [{t for w in set(words_of(text)) for t in word_terms(w)} for text in texts]
+    sets = text_terms(texts)
     fitted = np.flatnonzero(own)
     terms = telling_terms([sets[i] for i in fitted], y[own], TERMS)
     place = {t: i for i, t in enumerate(terms)}
-    bias, w, v = _machine([[place[t] for t in sets[i] if t in place] for i in fitted], y[own], weight[own], len(terms))
+    bias, w, v = _machine([[place[t] for t in sets[i].tolist() if t in place] for i in fitted], y[own], weight[own], len(terms))
     model = Model(terms, bias, w, v, 1.0, 0.0)
     raw = np.array([model.raw(texts[i]) for i in np.flatnonzero(~own)])
     held = y[~own]
