@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import as_bytes, by_name, table
+from foliospark.llm.common import as_bytes, bounded_batches, by_name, table
 
 ESCAPE = 0x5C
 SPECIAL = np.zeros(256, dtype=bool)
@@ -131,6 +131,7 @@ def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     One shuffle of the turns by conversation; a task streams through its sorted conversations batch by batch and holds
     one batch and one conversation.
     """
+    bounded_batches(turns.sparkSession)
     own = turns.select(by_name(turns, conv).cast("long").alias("conv_id"), by_name(turns, turn).alias("turn"), F.coalesce(by_name(turns, role), F.lit("")).alias("role"), F.coalesce(by_name(turns, text), F.lit("")).alias("text"))
     dealt = own.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
     return dealt.mapInArrow(_format_batches, FORMATTED)

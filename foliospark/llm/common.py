@@ -102,5 +102,11 @@ def unit_hash(*parts: Column) -> Column:
     return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
+    """What goes to a Python worker at a time, by rows and by bytes: long texts must not add up to the executor's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import as_bytes, by_name, chunks, fresh, table, words_of
+from foliospark.llm.common import as_bytes, bounded_batches, by_name, chunks, fresh, table, words_of
 
 WINDOW = 13
 #: Words of the benchmark in one automaton: bounds what is broadcast and held at a time.
@@ -210,17 +210,24 @@ def scan_texts(texts: list[bytes], blocks: list) -> list[dict]:
     return out
 
 
-def _scanner(broadcasts: list):
-    def value(b):
-        def load():
-            got = b.value
-            if len(broadcasts) > 1:
-                b._value = None  # one block in memory at a time
-            return got
+def _loader(broadcast, n: int):
+    def load():
+        got = broadcast.value
+        if n > 1:
+            broadcast._value = None  # one block in memory at a time
+        return got
+
+    return load
 
-        return load
 
-    loads = [value(b) for b in broadcasts]
+def _broadcast_blocks(spark: SparkSession, benchmark: DataFrame, item_id: str, item_text: str, window: int, block_words: int) -> list:
+    bounded_batches(spark)
+    rows = benchmark.select(by_name(benchmark, item_id).cast("string"), by_name(benchmark, item_text)).toLocalIterator()
+    return [spark.sparkContext.broadcast(b) for b in blocks_of(rows, window, block_words)]
+
+
+def _scanner(broadcasts: list):
+    loads = [_loader(b, len(broadcasts)) for b in broadcasts]
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("longest", pa.int32()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("items", pa.list_(pa.string()))])
 
     @F.arrow_udf(RESULT)
@@ -235,9 +242,7 @@ def _scanner(broadcasts: list):
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, into: str = "leak") -> DataFrame:
     """docs with a struct column `into`: n_words, n_hit, longest match, hit word spans, ids of items that occur."""
-    sc = docs.sparkSession.sparkContext
-    rows = benchmark.select(by_name(benchmark, item_id).cast("string"), by_name(benchmark, item_text)).toLocalIterator()
-    broadcasts = [sc.broadcast(b) for b in blocks_of(rows, window, block_words)]
+    broadcasts = _broadcast_blocks(docs.sparkSession, benchmark, item_id, item_text, window, block_words)
     return docs.withColumn(into, _scanner(broadcasts)(by_name(docs, text)))
 
 
@@ -253,11 +258,25 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def _cutter():
-    def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else cut_spans(t.encode(), [(s["start"], s["stop"]) for s in sp or ()]).decode() for t, sp in zip(text.to_pylist(), spans.to_pylist(), strict=True)], type=pa.string())
+def _cleaner(broadcasts: list, max_span: int, max_coverage: float):
+    """A UDF of one pass: whether a text goes, and what it becomes if spans are cut (null if it stays as it is).
+
+    It is declared not deterministic only so that Catalyst runs it once, not again for a filter on its result.
+    """
+    loads = [_loader(b, len(broadcasts)) for b in broadcasts]
+    kind = pa.struct([("goes", pa.bool_()), ("text", pa.string())])
+
+    def clean(text: pa.Array) -> pa.Array:
+        out = []
+        for start, stop in chunks(text):
+            own = as_bytes(text.slice(start, stop - start))
+            for t, r in zip(own, scan_texts(own, loads), strict=True):
+                goes = r["n_hit"] > 0 and r["n_hit"] >= max_coverage * r["n_words"]
+                long = [] if goes else [(s["start"], s["stop"]) for s in r["spans"] if s["stop"] - s["start"] >= max_span]
+                out.append({"goes": goes, "text": cut_spans(t, long).decode() if long else None})
+        return pa.array(out, type=kind)
 
-    return F.arrow_udf(cut, "string")
+    return F.arrow_udf(clean, "struct<goes:boolean,text:string>").asNondeterministic()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_span: int = WINDOW, max_coverage: float = 0.05, n_chars: str | None = "n_chars") -> DataFrame:
@@ -266,19 +285,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", max
     Same columns as docs. Texts without hits stay byte for byte. Where a text is cut, the n_chars column (if there is
     one) follows it.
     """
-    leak, cut = fresh(docs, base="leak"), fresh(docs, base="cut")
-    found = find_leaks(docs, benchmark, text=text, into=leak)
-    kept = found.where((F.col(leak)["n_hit"] == 0) | (F.col(leak)["n_hit"] < max_coverage * F.col(leak)["n_words"]))
-    long = F.filter(F.col(leak)["spans"], lambda s: s["stop"] - s["start"] >= max_span)
-    kept = kept.withColumn(cut, _cutter()(F.when(F.size(long) > 0, by_name(kept, text)), long))
-    changed = F.col(cut).isNotNull()
+    found = fresh(docs, base="leak")
+    blocks = _broadcast_blocks(docs.sparkSession, benchmark, "item_id", "text", WINDOW, BLOCK_WORDS)
+    kept = docs.withColumn(found, _cleaner(blocks, max_span, max_coverage)(by_name(docs, text))).where(~F.col(found)["goes"])
+    cut = F.col(found)["text"]
     columns = []
     for c in docs.columns:
         own = by_name(kept, c)
         if c == text:
-            own = F.when(changed, F.col(cut)).otherwise(own)
+            own = F.coalesce(cut, own)
         elif n_chars and c == n_chars:
-            own = F.when(changed, F.length(cut).cast(docs.schema[c].dataType)).otherwise(own)
+            own = F.coalesce(F.length(cut).cast(docs.schema[c].dataType), own)
         columns.append(own.alias(c))
     return kept.select(columns)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import as_bytes, by_name, fresh, table
+from foliospark.llm.common import as_bytes, bounded_batches, by_name, fresh, table
 from foliospark.llm.sampling import fold, labelled_sample
 
 FOLDS = 5
@@ -131,6 +131,7 @@ def fit(texts: list[bytes], labels: list[int], counts: dict[int, int]) -> Model:
 
 def scorer(spark: SparkSession, model):
     """A UDF that scores texts with a broadcast model of bounded size."""
+    bounded_batches(spark)
     held = spark.sparkContext.broadcast(model)
 
     def score(column: pa.Array) -> pa.Array:

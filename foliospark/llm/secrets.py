@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import by_name, chunks, table
+from foliospark.llm.common import bounded_batches, by_name, chunks, table
 
 #: In the order of the spans. The first three are the base kinds.
 KINDS = ["assign", "access", "hex", "github", "npm", "iban", "jwt", "pem", "slack", "stripe", "google"]
@@ -151,6 +151,7 @@ def secret_spans(text: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(into, secret_spans(by_name(docs, text)))
 
 
