@@ -151,7 +151,7 @@ def section_continuation(spark, sf_dir):
 
 
 def section_groups(spark, sf_dir):
-    pairs = read(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey").where((F.col("l_partkey") % 10 == 0)).select(F.concat(F.lit("p"), "l_partkey").alias("left_uuid"), F.concat(F.lit("s"), (F.col("l_partkey") / 40).cast("long") * 100 + F.col("l_suppkey") % 3).alias("right_uuid"))
+    pairs = read(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey").select(F.concat(F.lit("p"), "l_partkey").alias("left_uuid"), F.concat(F.lit("s"), (F.col("l_partkey") / 40).cast("long") * 100 + F.col("l_suppkey") % 3).alias("right_uuid"))
     return S.manual_groups(pairs)
 
 
@@ -251,7 +251,7 @@ SELECT 'v' AS volume, CAST(run AS BIGINT) AS run, 's' AS section_uuid, section,
 b AS (SELECT *, CASE WHEN ins AND coalesce(lag(u) OVER w, '') <> '' AND section = lag(section) OVER w THEN 0 ELSE 1 END AS brk FROM a WINDOW w AS (ORDER BY o)),
 c AS (SELECT *, sum(brk) OVER (ORDER BY o) AS run FROM b)
 SELECT o AS "order", section, first_value(u) OVER (PARTITION BY run ORDER BY o) AS section_uuid FROM c""",
-    "section_groups": """WITH RECURSIVE e AS (SELECT DISTINCT 'p' || l_partkey AS l, 's' || (CAST(l_partkey // 40 AS BIGINT) * 100 + l_suppkey % 3) AS r FROM lineitem WHERE l_partkey % 10 = 0),
+    "section_groups": """WITH RECURSIVE e AS (SELECT DISTINCT 'p' || l_partkey AS l, 's' || (CAST(l_partkey // 40 AS BIGINT) * 100 + l_suppkey % 3) AS r FROM lineitem),
 h AS (SELECT DISTINCT a.l AS a, b.l AS b FROM e a JOIN e b USING (r)),
 reach(a, b) AS (SELECT a, b FROM h UNION SELECT reach.a, h.b FROM reach JOIN h ON reach.b = h.a),
 g AS (SELECT a AS l, min(b) AS g FROM reach GROUP BY a)

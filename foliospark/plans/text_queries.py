@@ -57,7 +57,7 @@ def span_pieces(spark, sf_dir):
 
 def title_keys(spark, sf_dir):
     lines = keyed_lines(spark, sf_dir)
-    return lines.where(F.col("pos") == 0).select("document", title_key(F.col("text")).alias("title_key"), title_level(F.concat(F.lit(" ## "), "text")).alias("level"))
+    return lines.select("document", "pos", title_key(F.col("text")).alias("title_key"), title_level(F.concat(F.lit(" ## "), "text")).alias("level"))
 
 
 def heading_guess(spark, sf_dir):
@@ -177,7 +177,7 @@ SELECT id, signature, round(confidence, 9) AS confidence, CASE WHEN len(spans) =
 r AS (SELECT document, pos, length(text) AS n FROM keyed WHERE length(text) > 3),
 p AS (SELECT document, pos, n // 4 AS s, n - n // 8 AS e, 'a' AS line, 0 AS a, n // 2 AS z, 2 AS lead FROM r UNION ALL SELECT document, pos, n // 4, n - n // 8, 'b', n // 2 + 1, n + 1, 0 FROM r)
 SELECT document, CAST(pos AS INTEGER) AS pos, line, CAST(greatest(s, a) - a + lead AS INTEGER) AS start, CAST(least(e, z) - a + lead AS INTEGER) AS "end" FROM p WHERE least(e, z) > greatest(s, a)""",
-    "title_keys": f"WITH {LINES_SQL} SELECT document, lower(trim(regexp_replace(strip_accents(regexp_replace(text, '\\*', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) AS title_key, 2 AS level FROM keyed WHERE pos = 0",
+    "title_keys": f"WITH {LINES_SQL} SELECT document, CAST(pos AS INTEGER) AS pos, lower(trim(regexp_replace(strip_accents(regexp_replace(text, '\\*', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) AS title_key, 2 AS level FROM keyed",
     "line_features": f"""WITH {LINES_SQL},
 w AS (SELECT *, lag(text) OVER (PARTITION BY document ORDER BY pos) AS prev, row_number() OVER (PARTITION BY document ORDER BY pos) AS k, count(*) OVER (PARTITION BY document) AS n FROM keyed)
 SELECT document, CAST(pos AS INTEGER) AS pos, CASE WHEN starts_with(text, '#') THEN 'True' ELSE 'False' END AS is_heading, CAST(length(regexp_extract(text, '^(#*)', 1)) AS VARCHAR) AS heading_level, CASE WHEN k = 1 THEN 'True' ELSE 'False' END AS bos, CASE WHEN k = n THEN 'True' ELSE 'False' END AS eos,
