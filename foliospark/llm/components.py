@@ -19,9 +19,10 @@ def components(edges: DataFrame, tag: str = "components", rounds: int = 60) -> D
     seen = _state(stars)
     for _ in range(rounds):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # a table of its own, so that both sides of the join are plain shuffles and a hub's edges can be split
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), tag)
+        large = materialize(both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), tag)
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), tag)
         small = large.join(least, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         stars = materialize(small, tag)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import as_bytes, by_name, fresh, materialize, table
+from foliospark.llm.common import as_bytes, bounded_batches, by_name, fresh, materialize, table
 from foliospark.llm.components import components
 
 SEED = 42
@@ -41,6 +41,8 @@ NEAR_SIMILARITY = 0.8
 NEAR_LANES = 4
 #: Share of pairs at exactly that similarity that a table of sampled key bits may miss.
 NEAR_MISS = 0.01
+#: Closest others of a row in a bucket whose links are checked, besides those that join it to other rows' groups.
+NEAREST = 2
 
 
 def shingle_hashes(text: bytes, width: int, seed: int = SEED) -> np.ndarray:
@@ -208,8 +210,11 @@ def _planes(bits: np.ndarray) -> np.ndarray:
     return np.packbits(padded, axis=1, bitorder="little").view("<u8")
 
 
-def links(prints: np.ndarray, keys: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest (row, row) of the links between rows of equal keys, closest first for each row."""
+def links(prints: np.ndarray, keys: np.ndarray, radius: int, nearest: int = 0) -> list[tuple[int, int]]:
+    """A spanning forest (row, row) of the links between rows of equal keys, closest first for each row.
+
+    nearest: also the links of each row to so many of its closest others, for links that a later check may drop.
+    """
     n = len(prints)
     bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
     planes, label, out = _planes(bits), np.arange(n), []
@@ -219,18 +224,21 @@ def links(prints: np.ndarray, keys: np.ndarray, radius: int) -> list[tuple[int,
         for i in np.flatnonzero(near.sum(axis=1) > 1).tolist():
             row = at + i
             met = np.flatnonzero(near[i])
-            met = met[label[met] != label[row]]
-            if not len(met):
+            apart = label[met] != label[row]
+            if not nearest and not apart.any():
                 continue
-            distance = np.bitwise_count(prints[met] ^ prints[row]).sum(axis=1)
-            met = met[np.argsort(distance, kind="stable")]
+            order = np.argsort(np.bitwise_count(prints[met] ^ prints[row]).sum(axis=1), kind="stable")
+            met, apart = met[order], apart[order]
+            if nearest:
+                out += [(row, int(j)) for j in met[met != row][:nearest]]
+            met = met[apart]
             _, first = np.unique(label[met], return_index=True)
             out += [(row, int(j)) for j in met[first]]
             label[np.isin(label, label[met])] = label[row]
     return out
 
 
-def _compare(lanes: int, radius: int, part: int):
+def _compare(lanes: int, radius: int, part: int, nearest: int = 0):
     """Edges (a, b) of the buckets of sorted rows; rows of buckets above `part` come back as they are, to be split."""
 
     def compare(batches):
@@ -244,7 +252,7 @@ def _compare(lanes: int, radius: int, part: int):
 
             def flush(a: int, z: int) -> None:
                 if z - a > 1:
-                    edges.extend((i + a, j + a) for i, j in links(rows[a:z, 1:], keys[a:z], radius))
+                    edges.extend((i + a, j + a) for i, j in links(rows[a:z, 1:], keys[a:z], radius, nearest))
 
             for a, z in itertools.pairwise(cuts):
                 if z - a > part:
@@ -286,16 +294,17 @@ def _edge_batch(a, b, key, prints, lanes):
         names=["a", "b", "key", *[f"l{k}" for k in range(lanes)]])
 
 
-def link_edges(nodes: DataFrame, masks: np.ndarray, radius: int, part: int = PART, tag: str = "links") -> DataFrame:
+def link_edges(nodes: DataFrame, masks: np.ndarray, radius: int, part: int = PART, nearest: int = 0, tag: str = "links") -> DataFrame:
     """Edges (a, b) that join every two rows of nodes(id, prints array<long>) within the radius that share a key.
 
-    Buckets above `part` rows are cut into parts, and every two parts meet in a task of their own.
+    Buckets above `part` rows are cut into parts, and every two parts meet in a task of their own. Rows of a bucket are
+    compared in the order of their ids, so the edges are the same in every run. nearest: see links.
     """
     lanes = masks.shape[1]
     kinds = ", ".join(f"l{k} long" for k in range(lanes))
     names = [f"l{k}" for k in range(lanes)]
     keyed = nodes.select("id", "prints").mapInArrow(_keys(masks), f"key long, id long, {kinds}")
-    found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(lanes, radius, part), f"a long, b long, key long, {kinds}")
+    found = keyed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_compare(lanes, radius, part, nearest), f"a long, b long, key long, {kinds}")
     found = materialize(found, tag)
     edges = found.where(F.col("b").isNotNull()).select("a", "b")
     large = found.where(F.col("b").isNull())
@@ -304,12 +313,13 @@ def link_edges(nodes: DataFrame, masks: np.ndarray, radius: int, part: int = PAR
     dealt = large.join(sizes, "key").withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = pairs.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), F.col("a").alias("id"), *names)
-    more = pairs.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(lanes, radius, 1 << 40), f"a long, b long, key long, {kinds}")
+    more = pairs.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_compare(lanes, radius, 1 << 40, nearest), f"a long, b long, key long, {kinds}")
     return edges.unionByName(more.select("a", "b"))
 
 
 def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
     """id, print (long), component: the smallest id reachable over links of at most radius differing bits; each row of docs."""
+    bounded_batches(docs.sparkSession)
     prints = materialize(docs.select(by_name(docs, key).cast("long").alias("id"), fingerprint(by_name(docs, text), width)[0].alias("print")), "prints")
     nodes = materialize(prints.groupBy("print").agg(F.min("id").alias("id")), "nodes")
     named = nodes.where(F.col("id").isNotNull())
@@ -345,6 +355,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     shingle sets reaches `similarity`. Rows of equal fingerprints need no check. A row is told from others by its id
     and a hash of all its columns; of rows alike in all of these, one stays.
     """
+    bounded_batches(docs.sparkSession)
     tie = F.xxhash64(*[by_name(docs, c) for c in docs.columns])
     own = by_name(docs, key).cast("long")
     rows = materialize(docs.select(own.alias("id"), tie.alias("tie"), fingerprint(by_name(docs, text), width, lanes, repeats=False).alias("prints")), "prints")
@@ -352,7 +363,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     # a node is named by a number of its own, so that repeated and null ids can't meet
     nodes = materialize(groups.select(F.xxhash64("prints").alias("node"), F.col("prints"), F.col("first")["id"].alias("id"), F.col("first")["tie"].alias("tie")), "nodes")
     masks = sampled_masks(nodes.count(), lanes, similarity, miss)
-    found = materialize(link_edges(nodes.select(F.col("node").alias("id"), "prints"), masks, near_radius(lanes, similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct(), "candidates")
+    found = materialize(link_edges(nodes.select(F.col("node").alias("id"), "prints"), masks, near_radius(lanes, similarity), nearest=NEAREST).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct(), "candidates")
     ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
     wanted = nodes.join(ends, "node", "left_semi").select("node", "id", "tie")
     texts = docs.select(own.alias("id"), tie.alias("tie"), by_name(docs, text).alias("body"))
