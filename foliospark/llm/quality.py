@@ -27,6 +27,8 @@ DICTIONARY = 110_000
 SHARE = 1500
 BLOCK = 128
 LEVEL = 3
+#: Bytes added to the sum of sizes, so that the few bytes of a very short text decide little.
+SHRINK = 80
 
 _SIGNS = bytes(0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else 0x41 if 0x41 <= b <= 0x5A else 0x39 if 0x30 <= b <= 0x39 else b for b in range(256))
 
@@ -66,7 +68,7 @@ class Compressors:
         shape = view(text)
         blocks = [shape[i : i + BLOCK] for i in range(0, max(1, len(shape)), BLOCK)]
         bad, good = (sum([len(c.compress(b)) for b in blocks]) for c in self.pair)
-        return (bad - good) / (bad + good)
+        return (bad - good) / (bad + good + SHRINK)
 
 
 class Model:
