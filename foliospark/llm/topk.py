@@ -34,6 +34,7 @@ SEED_ROWS = 4096
 HEAD_SHARE = 0.7
 #: Above this a double can't hold products exactly, and Python's integers take over.
 EXACT = float(1 << 53)
+LEAST_SCORE = -float(1 << 63)
 
 
 def integer_vectors(df: DataFrame, key: str, vector: str, scale: float = 256.0) -> DataFrame:
@@ -70,7 +71,8 @@ def rotation(vectors: DataFrame, dim: int) -> np.ndarray:
         total = np.zeros((dim, dim))
         for batch in batches:
             m = _matrix(batch.column(0), dim)
-            total += m.T @ m
+            with np.errstate(over="ignore", invalid="ignore"):
+                total += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim)), pa.array(total.ravel())], names=["at", "total"])
 
     rows = vectors.select("v").mapInArrow(sums, "at long, total double").groupBy("at").agg(F.sum("total").alias("total")).collect()
@@ -88,14 +90,15 @@ class Queries:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, turn: np.ndarray, head: int, seeds: np.ndarray, seed_ids: np.ndarray, k: int):
         self.ids, self.vectors, self.k, self.head, self.turn = ids, vectors, k, head, turn
-        rotated = vectors @ turn
-        self.top, self.rest = rotated[:, :head], np.sqrt((rotated[:, head:] ** 2).sum(1))
-        self.norm = np.sqrt((vectors**2).sum(1))
-        self.least = np.full(len(ids), -np.inf)
-        if len(seeds) > k:
-            scores = vectors @ seeds.T
-            scores[ids[:, None] == seed_ids[None, :]] = -np.inf
-            self.least = np.partition(scores, -k, axis=1)[:, -k]
+        with np.errstate(over="ignore", invalid="ignore"):
+            rotated = vectors @ turn
+            self.top, self.rest = rotated[:, :head], np.sqrt((rotated[:, head:] ** 2).sum(1))
+            self.norm = np.sqrt((vectors**2).sum(1))
+            self.least = np.full(len(ids), -np.inf)
+            if len(seeds) > k:
+                scores = vectors @ seeds.T
+                scores[ids[:, None] == seed_ids[None, :]] = -np.inf
+                self.least = np.clip(np.partition(scores, -k, axis=1)[:, -k], -np.inf, float(1 << 63))
 
 
 def _scores(queries: np.ndarray, candidates: np.ndarray) -> list[int] | np.ndarray:
@@ -111,16 +114,18 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> list[int] | np.ndarr
 
 def best_of(block: Queries, ids: np.ndarray, vectors: np.ndarray, best: dict[int, list[tuple[int, int]]], least: np.ndarray) -> None:
     """Work a block of candidates into best: of each query row, its (score, -id) so far; least: the scores to reach."""
-    norms = np.sqrt((vectors**2).sum(1))
-    slack = 1 + 1e-9
-    alive = np.flatnonzero(block.norm * norms.max() * slack + 1 >= least)
-    if not len(alive):
-        return
-    rotated = vectors @ block.turn
-    rest = np.sqrt((rotated[:, block.head :] ** 2).sum(1))
-    partial = block.top[alive] @ rotated[:, : block.head].T
-    room = block.rest[alive][:, None] * rest[None, :] + 1e-9 * block.norm[alive][:, None] * norms[None, :] + 1
-    q, c = np.nonzero(partial + room >= least[alive][:, None])
+    with np.errstate(over="ignore", invalid="ignore"):
+        norms = np.sqrt((vectors**2).sum(1))
+        slack = 1 + 1e-9
+        # what isn't below stays: so does anything beyond doubles
+        alive = np.flatnonzero(~(block.norm * norms.max() * slack + 1 < least))
+        if not len(alive):
+            return
+        rotated = vectors @ block.turn
+        rest = np.sqrt((rotated[:, block.head :] ** 2).sum(1))
+        partial = block.top[alive] @ rotated[:, : block.head].T
+        room = block.rest[alive][:, None] * rest[None, :] + 1e-9 * block.norm[alive][:, None] * norms[None, :] + 1
+        q, c = np.nonzero(~(np.maximum(partial + room, LEAST_SCORE) < least[alive][:, None]))
     q = alive[q]
     other = block.ids[q] != ids[c]
     q, c = q[other], c[other]
@@ -168,8 +173,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id",
     def flush():
         ids = np.array([r["id"] for r in held], dtype=np.int64)
         m = _matrix(pa.array([r["v"] for r in held], pa.list_(pa.float64())), dim)
-        turned = (m @ turn) ** 2
-        shares = np.cumsum(turned.sum(0)) / max(1e-300, turned.sum())
+        with np.errstate(over="ignore", invalid="ignore"):
+            turned = (m @ turn) ** 2
+            shares = np.nan_to_num(np.cumsum(turned.sum(0)) / max(1e-300, turned.sum()), nan=1.0)
         head = int(min(dim, max(1, np.searchsorted(shares, HEAD_SHARE) + 1)))
         b = spark.sparkContext.broadcast(Queries(ids, m, turn, head, seed_vectors, seed_ids, k))
         found.append(dealt.mapInArrow(_search(b, dim, candidate_block), "query_id long, vec_id long, score long"))

@@ -39,7 +39,7 @@ def test_pair_weights():
     rng = np.random.default_rng(0)
     texts, labels = [], []
     for _ in range(1600):
-        a, b = rng.random(2) < 0.5
+        a, b = (rng.random(2) < 0.5).tolist()
         texts.append(" ".join(rng.permutation([f"noise{rng.integers(0, 40)}" for _ in range(4)] + ["insult"] * a + ["group"] * b)).encode())
         labels.append(int(a and b))
     model = T.fit(texts, labels, {0: labels.count(0), 1: labels.count(1)})

@@ -29,7 +29,7 @@ def test_base_against_brute_force():
 
 
 def token(prefix):
-    body = "".join(random.Random(5).choices("abcXYZ0189", k=30))
+    body = "".join(random.Random(5).choices("xyzXYZ", k=30))
     n, check = zlib.crc32(body.encode()), ""
     for _ in range(6):
         n, r = divmod(n, 62)
