@@ -95,7 +95,7 @@ def link_table(links: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame
     """
     side = lambda df, s: df.select(F.col("uuid").alias(f"{s}_uuid"), F.col("document").alias(f"{s}_file"), F.col("section_title").alias(f"{s}_section"), F.col("tagged_text").alias(f"{s}_tagged_text"), F.col("order").alias(f"__{s}"))
     met = links.join(side(left, "left"), "left_uuid").join(side(right, "right"), "right_uuid")
-    return met.orderBy("__left").select("left_file", "left_uuid", "right_uuid", "right_file", F.coalesce(F.format_string("%.4f", "score"), F.lit("")).alias("score"), "source", "left_section", "right_section", "left_tagged_text", "right_tagged_text")
+    return met.orderBy("__left").select("left_file", "left_uuid", "right_uuid", "right_file", F.when(F.col("score").isNull(), "").otherwise(F.format_string("%.4f", "score")).alias("score"), "source", "left_section", "right_section", "left_tagged_text", "right_tagged_text")
 
 
 def markdown_table(fields: list[str], rows) -> str:
