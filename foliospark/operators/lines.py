@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DOUBT = 0.9
-#: The classes of a line, and that of one deleted by hand.
-CLASSES = ["B-ENTRY", "I-ENTRY", "SUB-ENTRY", "B-TITLE", "I-TITLE", "OUT OF SCOPE", "?"]
+#: The classes of a line, that of one left undecided, and that of one deleted by hand.
+UNDECIDED = "¯\\_(ツ)_/¯"
+CLASSES = ["B-ENTRY", "I-ENTRY", "SUB-ENTRY", "B-TITLE", "I-TITLE", UNDECIDED, "OUT OF SCOPE"]
 DELETED = "SUPPRIMÉE"
 
 

@@ -10,9 +10,12 @@ from foliospark.operators.alignment import CANDIDATE, MANUAL, MANUAL_UNCERTAIN
 from foliospark.operators.links import LEVELS
 
 #: Column names and words of the export.
-STATUS = {"pair": "appariée", "left": "gauche seule", "right": "droite seule", "candidate": "candidate"}
-CERTAINTY = {MANUAL: "certaine", MANUAL_UNCERTAIN: "incertaine"}
+STATUS = {"pair": "apparié", "left": "gauche seulement", "right": "droite seulement", "candidate": "candidate"}
+CERTAINTY = {MANUAL: "relue", MANUAL_UNCERTAIN: "incertaine"}
 AUTOMATIC = "automatique"
+HEAD = {"status": "statut", "score_text": "score", "source": "methode", "certainty": "certitude", "level_text": "niveau_incertitude", "reasons_text": "motifs_relecture"}
+SIDES = {"left": "gauche", "right": "droite"}
+CELLS = {"volume": "volume", "page": "page", "section_title": "rubrique", "text": "texte", "subject": "sujet", "description": "description", "address": "adresse", "tagged_text": "texte_balise", "uuid": "uuid"}
 
 
 def export_rows(joined: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -34,6 +37,13 @@ def export_rows(joined: DataFrame, left: DataFrame, right: DataFrame) -> DataFra
     return out
 
 
+def export_table(rows: DataFrame, order: str = "rank") -> DataFrame:
+    """Rows of export_rows as the join file has them: its columns by name and in order, empty cells for null."""
+    named = [(F.col(c) if c in rows.columns else F.lit("")).alias(n) for c, n in HEAD.items()]
+    named += [F.col(f"{s}_{c}").alias(f"{name}_{n}") for s, name in SIDES.items() for c, n in CELLS.items()]
+    return rows.orderBy(order).select(*named).na.fill("")
+
+
 def contains(needle: str, *columns: str) -> Column:
     """Whether any of the columns holds the text, whatever the case."""
     found = F.lit(False)

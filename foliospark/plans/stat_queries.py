@@ -129,8 +129,8 @@ def text_exclusion(spark, sf_dir):
 
 
 def inversion_strata(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem", "l_partkey", "l_discount", "l_orderkey", "l_linenumber").select((F.col("l_partkey") % 30 + 1).alias("crossed"), (0.6 + F.col("l_discount") * 4).alias("sim"))
-    return rows.groupBy(SA.band(F.col("crossed"), [1, 3, 10]).alias("displacement"), SA.similarity_band(F.col("sim"), [0.6, 0.7, 0.85]).alias("similarity")).agg(F.count(F.lit(1)).alias("n"))
+    rows = read(spark, sf_dir, "lineitem", "l_partkey", "l_discount", "l_orderkey", "l_linenumber").select((F.col("l_partkey") % 70 + 1).alias("crossed"), (0.6 + F.col("l_discount") * 4).alias("sim"))
+    return rows.groupBy(SA.band(F.col("crossed")).alias("displacement"), SA.similarity_band(F.col("sim")).alias("similarity")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def addresses_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,8 +251,8 @@ SELECT document, page, len(list_filter(range(0, least(5, n)), lambda i: round_ev
 g AS (SELECT *, text IN (SELECT text FROM d WHERE id % 11 = 0) AS gold FROM d),
 k AS (SELECT *, coalesce(sum(CAST(usable AND NOT gold AS INTEGER)) OVER (PARTITION BY text ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g)
 SELECT id, CASE WHEN gold THEN 'gold' WHEN before > 0 THEN 'duplicate' WHEN NOT usable THEN 'unusable' ELSE 'kept' END AS state FROM k""",
-    "inversion_strata": """WITH r AS (SELECT l_partkey % 30 + 1 AS c, 0.6::DOUBLE + l_discount * 4 AS s FROM lineitem)
-SELECT CASE WHEN c <= 1 THEN '1' WHEN c <= 3 THEN '2-3' WHEN c <= 10 THEN '4-10' ELSE '>10' END AS displacement, CASE WHEN s < 0.7::DOUBLE THEN '0.60-0.70' WHEN s < 0.85::DOUBLE THEN '0.70-0.85' ELSE '0.85+' END AS similarity, count(*) AS n FROM r GROUP BY ALL""",
+    "inversion_strata": """WITH r AS (SELECT l_partkey % 70 + 1 AS c, 0.6::DOUBLE + l_discount * 4 AS s FROM lineitem)
+SELECT CASE WHEN c <= 1 THEN '1' WHEN c <= 2 THEN '2' WHEN c <= 3 THEN '3' WHEN c <= 5 THEN '4-5' WHEN c <= 10 THEN '6-10' WHEN c <= 50 THEN '11-50' ELSE '>50' END AS displacement, CASE WHEN s < 0.75::DOUBLE THEN '0.60-0.75' WHEN s < 0.85::DOUBLE THEN '0.75-0.85' WHEN s < 0.9::DOUBLE THEN '0.85-0.90' ELSE '0.90+' END AS similarity, count(*) AS n FROM r GROUP BY ALL""",
     "address_kinds": ADDRESS_SQL + """ SELECT id, kind_a, street_a, numbers_a, CASE WHEN numbers_a <> '' AND length(numbers_a) = length(numbers_b) AND len(list_filter(range(1, length(numbers_a) + 1), lambda i: numbers_a[i] <> numbers_b[i])) = 1
     THEN list_filter(list_transform(range(1, length(numbers_a) + 1), lambda i: numbers_a[i] || '→' || numbers_b[i]), lambda s: s[1] <> s[3])[1] ELSE '' END AS substituted,
   (SELECT coalesce((len(x) >= 2 AND len(x) < len(y) AND list_has_all(y, x)) OR (len(y) >= 2 AND len(y) < len(x) AND list_has_all(x, y)), false) FROM (SELECT list_distinct(list_filter(string_split(street_a, ' '), lambda w: w <> '')) AS x, list_distinct(string_split(street_b, ' ')) AS y)) AS within FROM named""",
