@@ -32,12 +32,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{tempfile.gettempdir()}/checkpoints"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+#: Narrow rows to a file where their number is known: small tables shouldn't be hundreds of files.
+FILE_ROWS = 20_000
+
+
+def materialize(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors.
 
-    The tables go when the driver ends.
+    rows: about how many it has, if known; the tasks that write it, 8 at least, follow from that. The tables go when the
+    driver ends.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(8, -(-rows // FILE_ROWS)))
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)

@@ -321,7 +321,7 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     """id, print (long), component: the smallest id reachable over links of at most radius differing bits; each row of docs."""
     bounded_batches(docs.sparkSession)
     prints = materialize(docs.select(by_name(docs, key).cast("long").alias("id"), fingerprint(by_name(docs, text), width)[0].alias("print")), "prints")
-    nodes = materialize(prints.groupBy("print").agg(F.min("id").alias("id")), "nodes")
+    nodes = prints.groupBy("print").agg(F.min("id").alias("id")).persist()
     named = nodes.where(F.col("id").isNotNull())
     edges = link_edges(named.select("id", F.array("print").alias("prints")), exact_masks(radius, named.count()), radius)
     roots = components(edges)
@@ -361,9 +361,10 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     rows = materialize(docs.select(own.alias("id"), tie.alias("tie"), fingerprint(by_name(docs, text), width, lanes, repeats=False).alias("prints")), "prints")
     groups = rows.groupBy("prints").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tie")).alias("first"))
     # a node is named by a number of its own, so that repeated and null ids can't meet
-    nodes = materialize(groups.select(F.xxhash64("prints").alias("node"), F.col("prints"), F.col("first")["id"].alias("id"), F.col("first")["tie"].alias("tie")), "nodes")
+    nodes = groups.select(F.xxhash64("prints").alias("node"), F.col("prints"), F.col("first")["id"].alias("id"), F.col("first")["tie"].alias("tie")).persist()
     masks = sampled_masks(nodes.count(), lanes, similarity, miss)
-    found = materialize(link_edges(nodes.select(F.col("node").alias("id"), "prints"), masks, near_radius(lanes, similarity), nearest=NEAREST).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct(), "candidates")
+    found = link_edges(nodes.select(F.col("node").alias("id"), "prints"), masks, near_radius(lanes, similarity), nearest=NEAREST)
+    found = materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct(), "candidates")
     ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
     wanted = nodes.join(ends, "node", "left_semi").select("node", "id", "tie")
     texts = docs.select(own.alias("id"), tie.alias("tie"), by_name(docs, text).alias("body"))
