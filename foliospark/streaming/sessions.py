@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 def activity(events: DataFrame, time: str = "ts", user: str = "user_id", gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """user, start, end, events: stretches of a user's events no more than `gap` apart."""
-    own = events.withWatermark(time, late) if events.isStreaming else events
+    own = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late) if events.isStreaming else events
     return own.groupBy(F.session_window(time, gap).alias("w"), F.col(user).alias("user")).agg(F.count(F.lit(1)).alias("events")).select("user", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "events")
 
 
