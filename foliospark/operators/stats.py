@@ -172,7 +172,3 @@ def bootstrap(df: DataFrame, cluster: str, sums: dict[str, Column], metrics: dic
     spread = stack(resampled).groupBy("metric").agg(F.percentile("v", F.lit(a)).alias("low"), F.percentile("v", F.lit(1 - a)).alias("high"))
     return stack(point).join(spread, "metric").select("metric", F.col("v").alias("value"), "low", "high")
 
-
-def multinomial_weights(clusters: int, samples: int, seed: int = 0) -> np.ndarray:
-    """Draws of each cluster in each sample with numpy's generator: for small gold sets whose figures must be reproduced."""
-    return np.random.default_rng(seed).multinomial(clusters, np.full(clusters, 1 / clusters), size=samples).astype(float)

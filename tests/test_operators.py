@@ -191,7 +191,6 @@ def test_statistics(spark):
         assert r["reviewed"] == n and np.isclose(r["share"], sum(x[2] for x in order[:n]) / sum(x[2] for x in rows))
     boot = stats.bootstrap(df.withColumn("page", F.col("id") % 40), "page", {"p": F.col("positive").cast("double"), "n": F.lit(1.0)}, {"rate": stats.ratio(F.col("p"), F.col("n"))}, 300).first()
     assert boot["low"] < boot["value"] < boot["high"] and boot["high"] - boot["low"] < 0.3
-    assert stats.multinomial_weights(5, 7).sum(axis=1).tolist() == [5] * 7
     empty = stats.calibration(spark.createDataFrame([(0.0, True), (0.1, False), (1.0, True)], "confidence double, correct boolean")).orderBy("low")
     assert values(empty, "low", "n") == [(0.0, 2), (0.9, 1)]
 
