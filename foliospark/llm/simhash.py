@@ -326,7 +326,8 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     edges = link_edges(named.select("id", F.array("print").alias("prints")), exact_masks(radius, named.count()), radius)
     roots = components(edges)
     placed = nodes.join(roots, nodes["id"] == roots["node"], "left").select("print", F.coalesce("root", "id").alias("component"))
-    return prints.join(placed, "print")
+    # a table of its own, so that the join has plain shuffles, and Spark can split the copies of one fingerprint
+    return prints.join(materialize(placed, "placed"), "print")
 
 
 def _sets(width: int):
