@@ -41,7 +41,10 @@ def _segment(params: Params):
     def work(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left, right = left.sort_values("order"), right.sort_values("order")
         a, b = left["uuid"].tolist(), right["uuid"].tolist()
-        sims = matrix(list(zip(left["subj"], left["text"], strict=True)), list(zip(right["subj"], right["text"], strict=True)), params.weight)
+        fields_a, fields_b = list(zip(left["subj"], left["text"], strict=True)), list(zip(right["subj"], right["text"], strict=True))
+        # pairs that can't reach any threshold stay 0: no pair is made of them; where lower values count, they are computed
+        sims = matrix(fields_a, fields_b, params.weight, min(params.threshold, params.residual, params.anchor))
+        exact = lambda rows, cols: matrix([fields_a[i] for i in rows], [fields_b[j] for j in cols], params.weight)
         ordered = S.align(sims, params.threshold)
         rest = S.residual(sims, ordered, np.float32(params.residual))
         out = [dict(kind=RESIDUAL, left_uuid=a[i], right_uuid=b[j], score=float(sims[i, j])) for i, j in rest]
@@ -50,19 +53,19 @@ def _segment(params: Params):
             return _frame(key[0], out)
         anchors = [(i, j) for i, j in ordered if sims[i, j] >= np.float32(params.anchor)]
         out += [dict(kind=ORDERED, left_uuid=a[i], right_uuid=b[j], score=float(sims[i, j])) for i, j in anchors]
-        near = [sims[x, y] for i, j in anchors for d in NEIGHBOURS for x, y in ((i, j - d), (i, j + d), (i - d, j), (i + d, j)) if 0 <= x < len(a) and 0 <= y < len(b)]
+        near = [exact([x], [y])[0, 0] for i, j in anchors for d in NEIGHBOURS for x, y in ((i, j - d), (i, j + d), (i - d, j), (i + d, j)) if 0 <= x < len(a) and 0 <= y < len(b)]
         once = []
         low_l, low_r = left["subj"].str.lower(), right["subj"].str.lower()
         n_l, n_r = low_l.value_counts(), low_r.value_counts()
         at = {s: j for j, s in enumerate(low_r)}
         for i, s in enumerate(low_l):
             if s and n_l[s] == 1 and n_r.get(s, 0) == 1:
-                once.append(sims[i, at[s]])
+                once.append(exact([i], [at[s]])[0, 0])
         for kind, values in (("different", near), ("same", once)):
             counts = S.histogram(np.array(values, dtype=np.float32))
             out += [dict(kind=kind, bin=k, n=int(n)) for k, n in enumerate(counts) if n]
         for k, (rows, cols) in enumerate(S.windows(anchors, len(a), len(b), rest)):
-            out.append(dict(kind="window", window=k, rows=[a[i] for i in rows], cols=[b[j] for j in cols], sims=sims[np.ix_(rows, cols)].ravel().tolist()))
+            out.append(dict(kind="window", window=k, rows=[a[i] for i in rows], cols=[b[j] for j in cols], sims=exact(rows, cols).ravel().tolist()))
         return _frame(key[0], out)
 
     return work
