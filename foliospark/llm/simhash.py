@@ -41,8 +41,9 @@ NEAR_SIMILARITY = 0.8
 NEAR_LANES = 4
 #: Share of pairs at exactly that similarity that a table of sampled key bits may miss.
 NEAR_MISS = 0.01
-#: Closest others of a row in a bucket whose links are checked, besides those that join it to other rows' groups.
-NEAREST = 2
+#: Rows and bytes of the sets of a group of candidates that are compared at a time.
+GROUP_ROWS = 1024
+GROUP_BYTES = 16 << 20
 
 
 def shingle_hashes(text: bytes, width: int, seed: int = SEED) -> np.ndarray:
@@ -210,11 +211,8 @@ def _planes(bits: np.ndarray) -> np.ndarray:
     return np.packbits(padded, axis=1, bitorder="little").view("<u8")
 
 
-def links(prints: np.ndarray, keys: np.ndarray, radius: int, nearest: int = 0) -> list[tuple[int, int]]:
-    """A spanning forest (row, row) of the links between rows of equal keys, closest first for each row.
-
-    nearest: also the links of each row to so many of its closest others, for links that a later check may drop.
-    """
+def links(prints: np.ndarray, keys: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """A spanning forest (row, row) of the links between rows of equal keys, closest first for each row."""
     n = len(prints)
     bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
     planes, label, out = _planes(bits), np.arange(n), []
@@ -225,20 +223,17 @@ def links(prints: np.ndarray, keys: np.ndarray, radius: int, nearest: int = 0) -
             row = at + i
             met = np.flatnonzero(near[i])
             apart = label[met] != label[row]
-            if not nearest and not apart.any():
+            if not apart.any():
                 continue
             order = np.argsort(np.bitwise_count(prints[met] ^ prints[row]).sum(axis=1), kind="stable")
-            met, apart = met[order], apart[order]
-            if nearest:
-                out += [(row, int(j)) for j in met[met != row][:nearest]]
-            met = met[apart]
+            met = met[order][apart[order]]
             _, first = np.unique(label[met], return_index=True)
             out += [(row, int(j)) for j in met[first]]
             label[np.isin(label, label[met])] = label[row]
     return out
 
 
-def _compare(lanes: int, radius: int, part: int, nearest: int = 0):
+def _compare(lanes: int, radius: int, part: int):
     """Edges (a, b) of the buckets of sorted rows; rows of buckets above `part` come back as they are, to be split."""
 
     def compare(batches):
@@ -252,7 +247,7 @@ def _compare(lanes: int, radius: int, part: int, nearest: int = 0):
 
             def flush(a: int, z: int) -> None:
                 if z - a > 1:
-                    edges.extend((i + a, j + a) for i, j in links(rows[a:z, 1:], keys[a:z], radius, nearest))
+                    edges.extend((i + a, j + a) for i, j in links(rows[a:z, 1:], keys[a:z], radius))
 
             for a, z in itertools.pairwise(cuts):
                 if z - a > part:
@@ -294,17 +289,17 @@ def _edge_batch(a, b, key, prints, lanes):
         names=["a", "b", "key", *[f"l{k}" for k in range(lanes)]])
 
 
-def link_edges(nodes: DataFrame, masks: np.ndarray, radius: int, part: int = PART, nearest: int = 0, tag: str = "links") -> DataFrame:
+def link_edges(nodes: DataFrame, masks: np.ndarray, radius: int, part: int = PART, tag: str = "links") -> DataFrame:
     """Edges (a, b) that join every two rows of nodes(id, prints array<long>) within the radius that share a key.
 
     Buckets above `part` rows are cut into parts, and every two parts meet in a task of their own. Rows of a bucket are
-    compared in the order of their ids, so the edges are the same in every run. nearest: see links.
+    compared in the order of their ids, so the edges are the same in every run.
     """
     lanes = masks.shape[1]
     kinds = ", ".join(f"l{k} long" for k in range(lanes))
     names = [f"l{k}" for k in range(lanes)]
     keyed = nodes.select("id", "prints").mapInArrow(_keys(masks), f"key long, id long, {kinds}")
-    found = keyed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_compare(lanes, radius, part, nearest), f"a long, b long, key long, {kinds}")
+    found = keyed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_compare(lanes, radius, part), f"a long, b long, key long, {kinds}")
     found = materialize(found, tag)
     edges = found.where(F.col("b").isNotNull()).select("a", "b")
     large = found.where(F.col("b").isNull())
@@ -313,7 +308,7 @@ def link_edges(nodes: DataFrame, masks: np.ndarray, radius: int, part: int = PAR
     dealt = large.join(sizes, "key").withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = pairs.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), F.col("a").alias("id"), *names)
-    more = pairs.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_compare(lanes, radius, 1 << 40, nearest), f"a long, b long, key long, {kinds}")
+    more = pairs.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_compare(lanes, radius, 1 << 40), f"a long, b long, key long, {kinds}")
     return edges.unionByName(more.select("a", "b"))
 
 
@@ -337,23 +332,82 @@ def _sets(width: int):
     return F.arrow_udf(scan, "binary")
 
 
-def _similar():
-    def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
-            p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(both / max(1, len(p) + len(q) - both))
-        return pa.array(out, type=pa.float64())
+def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest (row, row) of all pairs of at least that Jaccard similarity: breadth first over checked links.
+
+    An inverted index gives a row's exact overlap with all others at once. A row that was reached is never looked for
+    again, so a group of copies costs few rounds; rows without a link are compared with all others.
+    """
+    n, out = len(sets), []
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    _, token, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holders = np.repeat(np.arange(n), sizes)[np.argsort(token, kind="stable")]
+    starts, cuts = np.cumsum(counts) - counts, np.concatenate(([0], np.cumsum(sizes)))
+    unmet = np.ones(n, dtype=bool)
+    for seed in range(n):
+        if not unmet[seed]:
+            continue
+        unmet[seed] = False
+        waiting = [seed]
+        while waiting and unmet.any():
+            row = waiting.pop()
+            own = token[cuts[row] : cuts[row + 1]]
+            own = own[counts[own] > 1]
+            many = counts[own]
+            at = np.arange(many.sum()) + np.repeat(starts[own] - (np.cumsum(many) - many), many)
+            both = np.bincount(holders[at], minlength=n)
+            near = np.flatnonzero(unmet & (both / np.maximum(1, sizes + sizes[row] - both) >= similarity)).tolist()
+            unmet[near] = False
+            waiting += near
+            out += [(row, j) for j in near]
+    return out
+
+
+def _check(similarity: float):
+    """Edges (a, b) of the groups of sorted rows (key, node, set)."""
+
+    def check(batches):
+        nodes, sets, last = [], [], None
 
-    return F.arrow_udf(jaccard, "double")
+        def edges():
+            found = similar_links(sets, similarity) if len(sets) > 1 else []
+            return [nodes[i] for i, _ in found], [nodes[j] for _, j in found]
+
+        for batch in batches:
+            a, b = [], []
+            for key, node, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if key != last:
+                    for out, more in zip((a, b), edges(), strict=True):
+                        out += more
+                    nodes, sets, last = [], [], key
+                nodes.append(node)
+                sets.append(np.frombuffer(own, dtype=np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in edges()], names=["a", "b"])
+
+    return check
+
+
+def checked_edges(members: DataFrame, similarity: float, rows: int = GROUP_ROWS, size: int = GROUP_BYTES) -> DataFrame:
+    """Edges (a, b) that join every two of members(node, root, set) of one root whose sets reach the similarity.
+
+    Groups above `rows` rows or `size` bytes are cut into parts of half of that, and every two parts meet by themselves.
+    """
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("set")).alias("bytes"))
+    over = F.greatest(F.col("n") / rows, F.col("bytes") / size)
+    sizes = sizes.select("root", F.when(over <= 1, 1).otherwise(F.ceil(2 * over)).cast("int").alias("parts"))
+    dealt = members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where((F.col("parts") == 1) | (F.col("own") != F.col("other")))
+    pairs = pairs.select(F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "set")
+    return pairs.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_check(similarity), "a long, b long")
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = NEAR_SIMILARITY, width: int = NEAR_WIDTH, lanes: int = NEAR_LANES, miss: float = NEAR_MISS) -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest id. Same columns.
 
-    Wide fingerprints of shingle sets find the candidates; each link is kept if the exact Jaccard similarity of the
-    shingle sets reaches `similarity`. Rows of equal fingerprints need no check. A row is told from others by its id
+    Wide fingerprints of shingle sets find groups of candidates; in a group, all rows that are not joined yet are compared
+    by the exact Jaccard similarity of their shingle sets, and only links that reach `similarity` join rows. Rows of equal
+    fingerprints need no check. A row is told from others by its id
     and a hash of all its columns; of rows alike in all of these, one stays.
     """
     bounded_batches(docs.sparkSession)
@@ -364,15 +418,13 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     # a node is named by a number of its own, so that repeated and null ids can't meet
     nodes = groups.select(F.xxhash64("prints").alias("node"), F.col("prints"), F.col("first")["id"].alias("id"), F.col("first")["tie"].alias("tie")).persist()
     masks = sampled_masks(nodes.count(), lanes, similarity, miss)
-    found = link_edges(nodes.select(F.col("node").alias("id"), "prints"), masks, near_radius(lanes, similarity), nearest=NEAREST)
-    found = materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct(), "candidates")
-    ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
-    wanted = nodes.join(ends, "node", "left_semi").select("node", "id", "tie")
+    found = link_edges(nodes.select(F.col("node").alias("id"), "prints"), masks, near_radius(lanes, similarity))
+    met = components(found)
+    members = met.unionByName(met.select(F.col("root").alias("node"), "root").distinct())
+    wanted = nodes.join(members, "node").select("node", "root", "id", "tie")
     texts = docs.select(own.alias("id"), tie.alias("tie"), by_name(docs, text).alias("body"))
-    sets = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["tie"] == wanted["tie"])).select("node", "body").dropDuplicates(["node"]).select("node", _sets(width)("body").alias("set"))
-    sets = materialize(sets, "sets")
-    both = found.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-    edges = both.where(_similar()("sa", "sb") >= similarity).select("a", "b")
+    sets = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["tie"] == wanted["tie"])).select("node", "root", "body").dropDuplicates(["node"]).select("node", "root", _sets(width)("body").alias("set"))
+    edges = materialize(checked_edges(materialize(sets, "sets"), similarity), "edges")
     roots = components(edges)
     grouped = nodes.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
     kept = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tie")).alias("first")).select(F.col("first")["id"].alias("__kept_id"), F.col("first")["tie"].alias("__kept_tie"))

@@ -114,6 +114,39 @@ def test_drop_near_copies(spark, awkward, empty):
     assert S.drop_near_copies(empty).count() == 0
 
 
+def test_similar_links_against_brute_force(spark):
+    rng = random.Random(12)
+    sets = []
+    for _ in range(12):
+        base = rng.sample(range(10**6), rng.randint(1, 60))
+        sets += [np.unique(np.array([rng.randrange(10**6) if rng.random() < 0.07 else x for x in base], dtype=np.uint64)) for _ in range(12)]
+    plain = [set(s.tolist()) for s in sets]
+    want = groups(len(sets), [(i, j) for i in range(len(sets)) for j in range(i) if len(plain[i] & plain[j]) / len(plain[i] | plain[j]) >= 0.8])
+    assert groups(len(sets), S.similar_links(sets, 0.8)) == want
+    rows = spark.createDataFrame([(i, 0, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, root long, set binary")
+    for rows_at_a_time, size in ((1024, 1 << 20), (20, 1 << 20), (1024, 5000)):
+        edges = S.checked_edges(rows, 0.8, rows_at_a_time, size).collect()
+        assert groups(len(sets), [(r["a"], r["b"]) for r in edges]) == want
+
+
+def test_copies_that_only_the_original_joins(spark):
+    """1200 copies, each at 0.8 to one original, and below to each other."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    texts = [base]
+    for k in range(1200):
+        copy = list(base)
+        for e, at in enumerate(rng.sample(range(5, 195, 6), 4)):
+            copy[at] = f"x{k}.{e}"
+        texts.append(copy)
+    sets = [set(zip(*[t[i:] for i in range(5)], strict=False)) for t in texts]
+    assert all(len(sets[0] & s) >= 0.8 * len(sets[0] | s) for s in sets)
+    assert sum(len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[1:], sets[2:], strict=False)) < 20
+    order = rng.sample(range(len(texts)), len(texts))
+    docs = spark.createDataFrame([(i, " ".join(texts[k])) for i, k in enumerate(order)], "doc_id long, text string")
+    assert [r["doc_id"] for r in S.drop_near_copies(docs).collect()] == [0]
+
+
 def test_query(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text")).collect()
     prints = [plain_print(r["text"], 4) for r in rows]
