@@ -7,7 +7,9 @@ abandoned once every counter is over the radius. A bucket gives a spanning fores
 
 `exact_masks` gives keys that lose no link: of the fingerprint cut into more blocks than the radius, any two within it
 agree on enough whole blocks. The more fingerprints there are, the more blocks, so buckets stay small at any size.
-`sampled_masks` draws key bits for wide fingerprints, where links are then checked by their exact similarity.
+
+The pipeline's near copies are defined by the exact similarity of shingle sets; `near_candidates` finds them by common rare
+shingles, and loses none.
 
 Defined results. Null and wordless texts: fingerprint 0, linked like any other. Fewer words than a shingle: the whole
 sequence is one. Equal texts share a fingerprint, and are one node from there on: a hot group of copies costs one row.
@@ -18,7 +20,6 @@ none). Empty tables give empty results. Very long texts are hashed in whole. Oth
 from __future__ import annotations
 
 import itertools
-import math
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,8 @@ PART = 4096
 #: The pipeline's near-duplicates: shingles of five words, at least this Jaccard similarity of their sets.
 NEAR_WIDTH = 5
 NEAR_SIMILARITY = 0.8
-NEAR_LANES = 4
-#: Share of pairs at exactly that similarity that a table of sampled key bits may miss.
-NEAR_MISS = 0.01
+#: Share of a set's shingles that two near copies must have in common among their least hashes.
+NEAR_COMMON = 0.2
 #: Rows and bytes of the sets of a group of candidates that are compared at a time.
 GROUP_ROWS = 1024
 GROUP_BYTES = 16 << 20
@@ -83,15 +83,13 @@ def _remix(hashes: np.ndarray, lane: int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: Column, width: int = WIDTH, lanes: int = 1, repeats: bool = True) -> Column:
+def fingerprint(text: Column, width: int = WIDTH, lanes: int = 1) -> Column:
     """array<long>: lanes words of 64 bits of a string column."""
 
     def scan(column: pa.Array) -> pa.Array:
         out = np.zeros((len(column), lanes), dtype=np.uint64)
         for k, data in enumerate(as_bytes(column)):
             h = shingle_hashes(data, width)
-            if not repeats:
-                h = np.unique(h)
             out[k] = [majority(_remix(h, lane)) for lane in range(lanes)]
         flat = pa.array(out.view(np.int64).ravel())
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(column) * lanes + 1, lanes, dtype=np.int32)), flat)
@@ -116,27 +114,6 @@ def exact_masks(radius: int, rows: int, bits: int = 64) -> np.ndarray:
     return np.array(masks, dtype=np.uint64)
 
 
-def sampled_masks(rows: int, lanes: int, similarity: float, miss: float, seed: int = 7) -> np.ndarray:
-    """Key masks of randomly drawn bits: about log2(rows) bits each, and as many tables as the miss rate takes."""
-    cosine = 2 * similarity / (1 + similarity)
-    same = 1 - math.acos(cosine) / math.pi
-    drawn = max(8, min(40, math.ceil(math.log2(max(2, rows))) - 4))
-    tables = math.ceil(math.log(miss) / math.log(1 - same**drawn))
-    rng = np.random.default_rng(seed)
-    masks = np.zeros((tables, lanes), dtype=np.uint64)
-    for t in range(tables):
-        for b in rng.choice(64 * lanes, drawn, replace=False):
-            masks[t, b // 64] |= np.uint64(1 << int(b % 64))
-    return masks
-
-
-def near_radius(lanes: int, similarity: float) -> int:
-    """Differing bits that hold nearly all pairs of at least that similarity: the mean at it and three deviations."""
-    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    n = 64 * lanes
-    return int(n * differ + 3 * math.sqrt(n * differ * (1 - differ)))
-
-
 def _keys(masks: np.ndarray):
     lanes = masks.shape[1]
 
@@ -402,24 +379,77 @@ def checked_edges(members: DataFrame, similarity: float, rows: int = GROUP_ROWS,
     return pairs.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_check(similarity), "a long, b long")
 
 
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = NEAR_SIMILARITY, width: int = NEAR_WIDTH, lanes: int = NEAR_LANES, miss: float = NEAR_MISS) -> DataFrame:
+def _ceil(share: float, n):
+    """The least whole number that isn't below share * n."""
+    return np.ceil(share * n - 1e-9).astype(np.int64)
+
+
+def least_hashes(n, similarity: float, common: float = NEAR_COMMON):
+    """Of a set of n: how many least hashes are looked at, and how many of the rarest of these are keys.
+
+    Near copies share at least similarity * n of either's n hashes. So the first common * n that they share, by value, are
+    among the (1 - similarity + common) * n least of either; n is that of the smaller set, similarity * n at least. Of
+    the hashes looked at, put in any other order that all sets follow, so many at least are shared: the first shared one
+    stands no later than all but so many, and one more.
+    """
+    n = np.asarray(n, dtype=np.int64)
+    looked = np.minimum(n, n - _ceil(similarity, n) + _ceil(common, n))
+    return looked, np.minimum(looked, looked - _ceil(common, _ceil(similarity, n)) + 1)
+
+
+def _least(width: int, similarity: float):
+    """struct<node, spare, least>: the number of a text's shingle set, how many least hashes are no keys, and these hashes."""
+    from xxhash import xxh64_intdigest
+
+    def scan(column: pa.Array) -> pa.Array:
+        nodes, spare, least = [], [], []
+        for data in as_bytes(column):
+            own = np.unique(shingle_hashes(data, width))
+            looked, keys = least_hashes(len(own), similarity)
+            nodes.append(xxh64_intdigest(own.tobytes(), SEED))
+            spare.append(looked - keys)
+            least.append(own[:looked])
+        ends = np.cumsum([0, *map(len, least)])
+        flat = np.concatenate(least) if least else np.zeros(0, dtype=np.uint64)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
+        return pa.StructArray.from_arrays([pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(np.array(spare, dtype=np.int32)), lists], names=["node", "spare", "least"])
+
+    return F.arrow_udf(scan, "struct<node:bigint,spare:int,least:array<bigint>>")
+
+
+def near_candidates(nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) that join, directly or over others, all pairs of nodes(node, spare, least) that may be near copies.
+
+    Of the least hashes of a node, all but the `spare` most common ones are keys: near copies have a key in common. A
+    hash that no other node has is a key that joins nothing.
+    """
+    hashes = nodes.select("node", "spare", F.explode("least").alias("hash"))
+    common = materialize(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "common")
+    shared = hashes.join(common, "hash").groupBy("node").agg(F.first("spare").alias("spare"), F.sort_array(F.collect_list(F.struct("n", "hash"))).alias("own"))
+    shared = shared.where(F.size("own") > F.col("spare")).select("node", F.explode(F.slice("own", F.lit(1), F.size("own") - F.col("spare"))).alias("key"))
+    keys = materialize(shared.select("node", F.col("key")["hash"].alias("key")), "keys")
+    first = keys.groupBy("key").agg(F.min("node").alias("first"))
+    return keys.join(first, "key").where(F.col("node") != F.col("first")).select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+
+
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = NEAR_SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest id. Same columns.
 
-    Wide fingerprints of shingle sets find groups of candidates; in a group, all rows that are not joined yet are compared
-    by the exact Jaccard similarity of their shingle sets, and only links that reach `similarity` join rows. Rows of equal
-    fingerprints need no check. A row is told from others by its id
-    and a hash of all its columns; of rows alike in all of these, one stays.
+    Near copies are all rows joined by links of at least this exact Jaccard similarity of their shingle sets: common rare
+    shingles find groups of candidates without a loss, and in a group, all rows that are not joined yet are compared. Rows
+    of equal sets need no check. A row is told from others by its id and a hash of all its columns; of rows alike in all
+    of these, one stays.
     """
     bounded_batches(docs.sparkSession)
     tie = F.xxhash64(*[by_name(docs, c) for c in docs.columns])
     own = by_name(docs, key).cast("long")
-    rows = materialize(docs.select(own.alias("id"), tie.alias("tie"), fingerprint(by_name(docs, text), width, lanes, repeats=False).alias("prints")), "prints")
-    groups = rows.groupBy("prints").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tie")).alias("first"))
-    # a node is named by a number of its own, so that repeated and null ids can't meet
-    nodes = groups.select(F.xxhash64("prints").alias("node"), F.col("prints"), F.col("first")["id"].alias("id"), F.col("first")["tie"].alias("tie")).persist()
-    masks = sampled_masks(nodes.count(), lanes, similarity, miss)
-    found = link_edges(nodes.select(F.col("node").alias("id"), "prints"), masks, near_radius(lanes, similarity))
-    met = components(found)
+    rows = materialize(docs.select(own.alias("id"), tie.alias("tie"), _least(width, similarity)(by_name(docs, text)).alias("set")), "least")
+    rows = rows.select("id", "tie", "set.*")
+    # a node is named by a number of its own set, so that repeated and null ids can't meet
+    firsts = rows.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tie", "spare", "least")).alias("first"))
+    firsts = materialize(firsts.select("node", "first.*"), "nodes")
+    nodes = firsts.select("node", "id", "tie")
+    met = components(near_candidates(firsts))
     members = met.unionByName(met.select(F.col("root").alias("node"), "root").distinct())
     wanted = nodes.join(members, "node").select("node", "root", "id", "tie")
     texts = docs.select(own.alias("id"), tie.alias("tie"), by_name(docs, text).alias("body"))

@@ -147,6 +147,43 @@ def test_copies_that_only_the_original_joins(spark):
     assert [r["doc_id"] for r in S.drop_near_copies(docs).collect()] == [0]
 
 
+def test_near_copies_have_a_key_in_common():
+    """Pairs at 0.8 and little above, keys chosen by an order that is drawn anew."""
+    rng = random.Random(3)
+    for n in [*range(1, 40), 196, 1000]:
+        for _ in range(40):
+            both = -(-4 * n // 5)
+            left, right = rng.randint(0, n - both), rng.randint(0, n - both)
+            if both < 0.8 * (both + left + right):
+                right = 0
+            drawn = rng.sample(range(10**7), both + left + right)
+            pair = [sorted(drawn[: both + left]), sorted(drawn[:both] + drawn[both + left :])]
+            salt = rng.random()
+            keys = []
+            for own in pair:
+                looked, kept = S.least_hashes(len(own), 0.8)
+                keys.append(set(sorted(own[:looked], key=lambda x: hash((x, salt)))[:kept]))
+            assert keys[0] & keys[1]
+
+
+def test_no_near_copy_is_missed(spark):
+    """600 pairs at 0.8 or little above: of eight and nine words, and of 200 with an end that differs. A line is in all long ones."""
+    rng = random.Random(5)
+    line = [f"l{i}" for i in range(40)]
+    texts = []
+    for k in range(300):
+        base = [f"s{k}.{i}" for i in range(9)]
+        texts += [base[:8], base]
+    for k in range(300):
+        base = [*line, *(f"t{k}.{i}" for i in range(148))]  # 184 shingles of five words, 164 of them in the other one
+        texts += [base, [*base[:-20], *(f"u{k}.{i}" for i in range(20))]]
+    sets = [set(zip(*[t[i:] for i in range(5)], strict=False)) for t in texts]
+    assert all(len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True))
+    order = rng.sample(range(len(texts)), len(texts))
+    docs = spark.createDataFrame([(i, k, " ".join(texts[k])) for i, k in enumerate(order)], "doc_id long, k long, text string")
+    assert sorted(r["k"] // 2 for r in S.drop_near_copies(docs).collect()) == list(range(600))
+
+
 def test_query(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text")).collect()
     prints = [plain_print(r["text"], 4) for r in rows]
