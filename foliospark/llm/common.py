@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from functools import reduce
+from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,15 +41,65 @@ def materialize(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors.
 
     rows: about how many it has, if known; the tasks that write it, 8 at least, follow from that. The tables go when the
-    driver ends.
+    `scratch` they were written in ends, or else the driver.
     """
-    spark = df.sparkSession
-    if rows is not None:
-        df = df.coalesce(max(8, -(-rows // FILE_ROWS)))
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize_all([df if rows is None else df.coalesce(max(8, -(-rows // FILE_ROWS)))], tag)
+
+
+def materialize_all(frames: Iterable[DataFrame], tag: str) -> DataFrame:
+    """As materialize, for frames (one at least) of one schema, each written before the next is asked for."""
+    path = None
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    for df in frames:
+        spark, schema = df.sparkSession, df.schema
+        if path is None:
+            path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+            if not _WRITTEN:
+                atexit.register(_remove_all)
+            _WRITTEN[path] = spark
+        # what was shuffled to write the table is of no use once it stands
+        before = spark.conf.get(cleanup, "false")
+        spark.conf.set(cleanup, "true")
+        try:
+            df.write.mode("append").parquet(path)
+        finally:
+            spark.conf.set(cleanup, before)
+    return spark.read.schema(schema).parquet(path)
+
+
+#: The tables that are still there, oldest first.
+_WRITTEN: dict[str, SparkSession] = {}
+
+
+def _tables_of(df: DataFrame) -> list[str]:
+    """The tables of `materialize` that df reads."""
+    folders = {file.rsplit("/", 1)[0].rsplit("/", 1)[-1] for file in df.inputFiles()}
+    return [path for path in _WRITTEN if path.rsplit("/", 1)[-1] in folders]
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the tables of `materialize` that df reads: it can't be used after that."""
+    for path in _tables_of(df):
+        _remove(_WRITTEN.pop(path), path)
+
+
+@contextmanager
+def scratch():
+    """Removes, at its end, the tables of `materialize` that were written inside, but those that frames given to the function it gives read."""
+    before, kept = set(_WRITTEN), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.update(_tables_of(df))
+        return df
+
+    yield keep
+    for path in [p for p in _WRITTEN if p not in before and p not in kept]:
+        _remove(_WRITTEN.pop(path), path)
+
+
+def _remove_all() -> None:
+    for path, spark in _WRITTEN.items():
+        _remove(spark, path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -66,9 +117,19 @@ def fresh(*frames: DataFrame, base: str = "tmp") -> str:
     return next(n for i in range(10**6) if (n := f"__{base}_{i}") not in taken)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """What an operator calls a column that it adds: `name`, or if df has that (in any case) `name_1`, `name_2`, ..."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for i in range(10**6) if (n := f"{name}_{i}" if i else name).lower() not in taken)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def by_name(df: DataFrame, name: str) -> Column:
     """A column by its exact name, dots included."""
-    return df["`" + name.replace("`", "``") + "`"]
+    return df[quoted(name)]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -99,7 +160,7 @@ def as_bytes(column) -> list[bytes]:
     """The UTF-8 bytes of an Arrow string array, null as empty."""
     import pyarrow as pa
 
-    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    kind = pa.large_binary() if column.type in (pa.large_string(), pa.large_binary()) else pa.binary()
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
@@ -113,7 +174,3 @@ def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20)
     """What goes to a Python worker at a time, by rows and by bytes: long texts must not add up to the executor's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
