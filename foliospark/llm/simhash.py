@@ -8,13 +8,14 @@ abandoned once every counter is over the radius. A bucket gives a spanning fores
 `exact_masks` gives keys that lose no link: of the fingerprint cut into more blocks than the radius, any two within it
 agree on enough whole blocks. The more fingerprints there are, the more blocks, so buckets stay small at any size.
 
-The pipeline's near copies are defined by the exact similarity of shingle sets; `near_candidates` finds them by common rare
-shingles, and loses none.
+The pipeline's near copies are defined by the exact similarity of shingle sets. Fingerprints of 64 bits can't tell all of
+these, so `near_edges` checks what they link, and then searches what isn't joined by common rare shingles, which lose none.
 
 Defined results. Null and wordless texts: fingerprint 0, linked like any other. Fewer words than a shingle: the whole
 sequence is one. Equal texts share a fingerprint, and are one node from there on: a hot group of copies costs one row.
-Repeated ids: each row gets its own fingerprint and component. A null id never names a component (null, if there's
-none). Empty tables give empty results. Very long texts are hashed in whole. Other columns are not read.
+Repeated ids: each row gets its own fingerprint and component. Rows with a null id link like any others, but never name a
+component (null, if there's no other). Empty tables give empty results. Very long texts are hashed in whole. Other
+columns are not read by `near_components`, and kept as they are by `drop_near_copies`.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import as_bytes, bounded_batches, by_name, fresh, materialize, table
+from foliospark.llm.common import as_bytes, bounded_batches, by_name, fresh, materialize, scratch, table
 from foliospark.llm.components import components
 
 SEED = 42
@@ -41,6 +42,10 @@ NEAR_WIDTH = 5
 NEAR_SIMILARITY = 0.8
 #: Share of a set's shingles that two near copies must have in common among their least hashes.
 NEAR_COMMON = 0.2
+#: Keys that two near copies must have in common, if their sets are large enough for that.
+NEAR_KEYS = 4
+#: Nodes of a key up to which its pairs are counted one by one; nodes of more frequent keys are searched as groups.
+PAIR_ROWS = 16
 #: Rows and bytes of the sets of a group of candidates that are compared at a time.
 GROUP_ROWS = 1024
 GROUP_BYTES = 16 << 20
@@ -290,75 +295,75 @@ def link_edges(nodes: DataFrame, masks: np.ndarray, radius: int, part: int = PAR
 
 
 def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
-    """id, print (long), component: the smallest id reachable over links of at most radius differing bits; each row of docs."""
+    """id, print (long), component: the smallest id reachable over links of at most radius differing bits; each row of docs.
+
+    A vertex is a fingerprint, named by itself: rows of one fingerprint are one vertex, whatever their ids, and rows of one
+    id may be several. A component gets its name, the smallest id of all its rows, once it is known.
+    """
     bounded_batches(docs.sparkSession)
     prints = materialize(docs.select(by_name(docs, key).cast("long").alias("id"), fingerprint(by_name(docs, text), width)[0].alias("print")), "prints")
-    nodes = prints.groupBy("print").agg(F.min("id").alias("id")).persist()
-    named = nodes.where(F.col("id").isNotNull())
-    edges = link_edges(named.select("id", F.array("print").alias("prints")), exact_masks(radius, named.count()), radius)
+    nodes = materialize(prints.groupBy("print").agg(F.min("id").alias("id")), "vertices")
+    edges = link_edges(nodes.select(F.col("print").alias("id"), F.array("print").alias("prints")), exact_masks(radius, nodes.count()), radius)
     roots = components(edges)
-    placed = nodes.join(roots, nodes["id"] == roots["node"], "left").select("print", F.coalesce("root", "id").alias("component"))
-    # a table of its own, so that the join has plain shuffles, and Spark can split the copies of one fingerprint
-    return prints.join(materialize(placed, "placed"), "print")
-
-
-def _sets(width: int):
-    def scan(column: pa.Array) -> pa.Array:
-        return pa.array([np.unique(shingle_hashes(data, width)).tobytes() for data in as_bytes(column)], type=pa.binary())
+    rooted = materialize(nodes.join(roots, nodes["print"] == roots["node"], "left").select("print", "id", F.coalesce("root", "print").alias("root")), "rooted")
+    names = materialize(rooted.groupBy("root").agg(F.min("id").alias("component")), "names")
+    # tables of their own, so that the joins have plain shuffles, and Spark can split a large component or fingerprint
+    placed = materialize(rooted.select("print", "root").join(names, "root").select("print", "component"), "placed")
+    return prints.join(placed, "print")
 
-    return F.arrow_udf(scan, "binary")
 
+def similar_links(sets: list[np.ndarray], similarity: float, labels: list | None = None) -> list[tuple[int, int]]:
+    """Links (row, row) that join all pairs of at least that Jaccard similarity, rows of a label being joined already.
 
-def similar_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """A spanning forest (row, row) of all pairs of at least that Jaccard similarity: breadth first over checked links.
-
-    An inverted index gives a row's exact overlap with all others at once. A row that was reached is never looked for
-    again, so a group of copies costs few rounds; rows without a link are compared with all others.
+    An inverted index gives a row's exact overlap with all others at once. Every row is looked at but those of the largest
+    label, whose links the others find; the work ends when all rows are joined.
     """
     n, out = len(sets), []
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     _, token, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     holders = np.repeat(np.arange(n), sizes)[np.argsort(token, kind="stable")]
     starts, cuts = np.cumsum(counts) - counts, np.concatenate(([0], np.cumsum(sizes)))
-    unmet = np.ones(n, dtype=bool)
-    for seed in range(n):
-        if not unmet[seed]:
-            continue
-        unmet[seed] = False
-        waiting = [seed]
-        while waiting and unmet.any():
-            row = waiting.pop()
-            own = token[cuts[row] : cuts[row + 1]]
-            own = own[counts[own] > 1]
-            many = counts[own]
-            at = np.arange(many.sum()) + np.repeat(starts[own] - (np.cumsum(many) - many), many)
-            both = np.bincount(holders[at], minlength=n)
-            near = np.flatnonzero(unmet & (both / np.maximum(1, sizes + sizes[row] - both) >= similarity)).tolist()
-            unmet[near] = False
-            waiting += near
-            out += [(row, j) for j in near]
+    group = np.arange(n) if labels is None else np.unique(np.asarray(labels), return_inverse=True)[1]
+    largest, left = int(np.argmax(np.bincount(group))), len(np.unique(group))
+    for row in np.flatnonzero(group != largest).tolist():
+        if left == 1:
+            break
+        own = token[cuts[row] : cuts[row + 1]]
+        own = own[counts[own] > 1]
+        many = counts[own]
+        at = np.arange(many.sum()) + np.repeat(starts[own] - (np.cumsum(many) - many), many)
+        both = np.bincount(holders[at], minlength=n)
+        near = np.flatnonzero((group != group[row]) & (both / np.maximum(1, sizes + sizes[row] - both) >= similarity))
+        met, first = np.unique(group[near], return_index=True)
+        out += [(row, int(j)) for j in near[first]]
+        if len(met):
+            group[np.isin(group, met)] = group[row]
+            left -= len(met)
     return out
 
 
 def _check(similarity: float):
-    """Edges (a, b) of the groups of sorted rows (key, node, set)."""
+    """Edges (a, b) of the groups of sorted rows (key, node, label, set)."""
 
     def check(batches):
-        nodes, sets, last = [], [], None
+        nodes, labels, sets, last = [], [], [], None
 
         def edges():
-            found = similar_links(sets, similarity) if len(sets) > 1 else []
+            found = similar_links(sets, similarity, labels) if len(sets) > 1 else []
             return [nodes[i] for i, _ in found], [nodes[j] for _, j in found]
 
         for batch in batches:
             a, b = [], []
-            for key, node, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            own = batch.column(3)
+            flat, ends = np.asarray(own.flatten()), np.cumsum(np.concatenate(([0], np.asarray(own.value_lengths()))))
+            for k, (key, node, label) in enumerate(zip(*[c.to_pylist() for c in batch.columns[:3]], strict=True)):
                 if key != last:
                     for out, more in zip((a, b), edges(), strict=True):
                         out += more
-                    nodes, sets, last = [], [], key
+                    nodes, labels, sets, last = [], [], [], key
                 nodes.append(node)
-                sets.append(np.frombuffer(own, dtype=np.uint64))
+                labels.append(label)
+                sets.append(flat[ends[k] : ends[k + 1]].copy())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in edges()], names=["a", "b"])
 
@@ -366,16 +371,17 @@ def _check(similarity: float):
 
 
 def checked_edges(members: DataFrame, similarity: float, rows: int = GROUP_ROWS, size: int = GROUP_BYTES) -> DataFrame:
-    """Edges (a, b) that join every two of members(node, root, set) of one root whose sets reach the similarity.
+    """Edges (a, b) that join every two of members(node, label, root, set) of one root whose sets reach the similarity.
 
-    Groups above `rows` rows or `size` bytes are cut into parts of half of that, and every two parts meet by themselves.
+    Members of one label are joined already. Groups above `rows` rows or `size` bytes are cut into parts of half of that,
+    and every two parts meet by themselves.
     """
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("set")).alias("bytes"))
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(8 * F.size("set").cast("long")).alias("bytes"))
     over = F.greatest(F.col("n") / rows, F.col("bytes") / size)
     sizes = sizes.select("root", F.when(over <= 1, 1).otherwise(F.ceil(2 * over)).cast("int").alias("parts"))
     dealt = members.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where((F.col("parts") == 1) | (F.col("own") != F.col("other")))
-    pairs = pairs.select(F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "set")
+    pairs = pairs.select(F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "label", "set")
     return pairs.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_check(similarity), "a long, b long")
 
 
@@ -384,86 +390,147 @@ def _ceil(share: float, n):
     return np.ceil(share * n - 1e-9).astype(np.int64)
 
 
-def least_hashes(n, similarity: float, common: float = NEAR_COMMON):
-    """Of a set of n: how many least hashes are looked at, and how many of the rarest of these are keys.
+def least_hashes(n, similarity: float, common: float = NEAR_COMMON, needed: int = NEAR_KEYS):
+    """Of a set of n: how many least hashes are looked at, how many of the rarest of these are keys, how many keys near copies share.
 
     Near copies share at least similarity * n of either's n hashes. So the first common * n that they share, by value, are
     among the (1 - similarity + common) * n least of either; n is that of the smaller set, similarity * n at least. Of
-    the hashes looked at, put in any other order that all sets follow, so many at least are shared: the first shared one
-    stands no later than all but so many, and one more.
+    the hashes looked at, put in any other order that all sets follow, so many at least are shared: all but so many, less
+    the number needed, come before the last of as many shared ones.
     """
     n = np.asarray(n, dtype=np.int64)
     looked = np.minimum(n, n - _ceil(similarity, n) + _ceil(common, n))
-    return looked, np.minimum(looked, looked - _ceil(common, _ceil(similarity, n)) + 1)
+    shared = _ceil(common, _ceil(similarity, n))
+    needed = np.minimum(needed, shared)
+    return looked, np.minimum(looked, looked - shared + needed), needed
 
 
-def _least(width: int, similarity: float):
-    """struct<node, spare, least>: the number of a text's shingle set, how many least hashes are no keys, and these hashes."""
-    from xxhash import xxh64_intdigest
+_READ = "struct<digest:binary,size:bigint,needed:int,spare:int,print:bigint,least:array<bigint>>"
+
+
+def _read(width: int, similarity: float):
+    """Of a text's shingle set: digest, size, SimHash fingerprint, and the hashes that keys are chosen from, `spare` of which are none."""
+    from xxhash import xxh3_128_digest
 
     def scan(column: pa.Array) -> pa.Array:
-        nodes, spare, least = [], [], []
+        digests, sizes, least, prints = [], [], [], []
         for data in as_bytes(column):
             own = np.unique(shingle_hashes(data, width))
-            looked, keys = least_hashes(len(own), similarity)
-            nodes.append(xxh64_intdigest(own.tobytes(), SEED))
-            spare.append(looked - keys)
-            least.append(own[:looked])
-        ends = np.cumsum([0, *map(len, least)])
-        flat = np.concatenate(least) if least else np.zeros(0, dtype=np.uint64)
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
-        return pa.StructArray.from_arrays([pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(np.array(spare, dtype=np.int32)), lists], names=["node", "spare", "least"])
+            digests.append(xxh3_128_digest(own.tobytes()))
+            sizes.append(len(own))
+            prints.append(majority(own))
+            least.append(own)
+        n = np.array(sizes, dtype=np.int64)
+        looked, keys, needed = least_hashes(n, similarity)
+        cut = [own[:k] for own, k in zip(least, looked.tolist(), strict=True)]
+        flat = np.concatenate(cut) if cut else np.zeros(0, dtype=np.uint64)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(looked))), pa.int32()), pa.array(flat.view(np.int64)))
+        columns = [pa.array(digests, pa.binary()), pa.array(n), pa.array(needed.astype(np.int32)), pa.array((looked - keys).astype(np.int32)), pa.array(np.array(prints, dtype=np.uint64).view(np.int64)), lists]
+        return pa.StructArray.from_arrays(columns, names=["digest", "size", "needed", "spare", "print", "least"])
 
-    return F.arrow_udf(scan, "struct<node:bigint,spare:int,least:array<bigint>>")
+    return F.arrow_udf(scan, _READ)
 
 
-def near_candidates(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) that join, directly or over others, all pairs of nodes(node, spare, least) that may be near copies.
+def _sets(width: int):
+    def scan(column: pa.Array) -> pa.Array:
+        sets = [np.unique(shingle_hashes(data, width)) for data in as_bytes(column)]
+        flat = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(flat.view(np.int64)))
+
+    return F.arrow_udf(scan, "array<bigint>")
+
 
-    Of the least hashes of a node, all but the `spare` most common ones are keys: near copies have a key in common. A
-    hash that no other node has is a key that joins nothing.
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """node, size, needed, key of nodes(node, size, needed, spare, least): near copies have `needed` keys of either in common.
+
+    Of the least hashes of a node, all but the `spare` most common ones are keys. A hash that no other node has is a key
+    that joins nothing.
     """
-    hashes = nodes.select("node", "spare", F.explode("least").alias("hash"))
+    hashes = nodes.select("node", F.explode("least").alias("hash"))
     common = materialize(hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "common")
-    shared = hashes.join(common, "hash").groupBy("node").agg(F.first("spare").alias("spare"), F.sort_array(F.collect_list(F.struct("n", "hash"))).alias("own"))
-    shared = shared.where(F.size("own") > F.col("spare")).select("node", F.explode(F.slice("own", F.lit(1), F.size("own") - F.col("spare"))).alias("key"))
-    keys = materialize(shared.select("node", F.col("key")["hash"].alias("key")), "keys")
-    first = keys.groupBy("key").agg(F.min("node").alias("first"))
-    return keys.join(first, "key").where(F.col("node") != F.col("first")).select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    shared = hashes.join(common, "hash").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "hash"))).alias("own"))
+    rest = nodes.select("node", "size", "needed", "spare")
+    shared = shared.join(rest, "node").where(F.size("own") > F.col("spare"))
+    return shared.select("node", "size", "needed", F.explode(F.slice("own", F.lit(1), F.size("own") - F.col("spare"))["hash"]).alias("key"))
+
+
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of pairs(a, b) whose sets(node, set) reach the Jaccard similarity."""
+    left, right = (sets.select(F.col("node").alias(c), F.col("set").alias(f"{c}s")) for c in ("a", "b"))
+    met = pairs.join(left, "a").join(right, "b")
+    both = F.size(F.array_intersect("as", "bs"))
+    return met.where(both / (F.size("as") + F.size("bs") - both) >= similarity).select("a", "b")
+
+
+def near_edges(nodes: DataFrame, keys: DataFrame, sets: DataFrame, similarity: float = NEAR_SIMILARITY, pair_rows: int = PAIR_ROWS) -> DataFrame:
+    """Edges (a, b) that join all near copies among the nodes(node, print): links of exact similarity, none is lost.
+
+    First the links that bit-sliced SimHash comparison finds are checked: they join most copies. What may still be near
+    copies and isn't joined has common keys. Of keys with few nodes, pairs with enough keys in common are checked; nodes
+    that a more frequent key joins are searched group by group.
+    """
+    met = keys.select("node").distinct()
+    prints = materialize(nodes.select("node", "print").join(met, "node").select(F.col("node").alias("id"), F.array("print").alias("prints")), "met")
+    found = materialize(link_edges(prints, exact_masks(RADIUS, prints.count()), RADIUS).distinct(), "found")
+    first = materialize(alike(found, sets, similarity), "first")
+    joined = components(first)
+    named = keys.join(joined, "node", "left").select("key", "node", "size", "needed", F.coalesce("root", "node").alias("label"))
+    named = materialize(named, "named")
+    spread = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    spread = materialize(spread.where(F.col("low") < F.col("high")).select("key", "n"), "spread")
+    apart = materialize(named.join(spread, "key"), "apart")
+    rare = apart.where(F.col("n") <= pair_rows).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "label", "size", "needed"))).alias("rows"))
+    rare = rare.select(F.posexplode("rows").alias("k", "x"), "rows").select("x", F.explode(F.slice("rows", F.col("k") + 2, F.size("rows"))).alias("y"))
+    low, high = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    rare = rare.where((F.col("x.label") != F.col("y.label")) & (low / high >= similarity)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.least("x.needed", "y.needed").alias("needed"))
+    pairs = rare.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("needed").alias("needed")).where(F.col("n") >= F.col("needed")).select("a", "b")
+    second = alike(materialize(pairs, "pairs"), sets, similarity)
+    frequent = apart.where(F.col("n") > pair_rows)
+    heads = materialize(frequent.groupBy("key").agg(F.min("node").alias("head")), "heads")
+    groups = components(frequent.join(heads, "key").where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b")).distinct())
+    groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
+    members = groups.join(joined.withColumnRenamed("root", "label"), "node", "left").select("node", "root", F.coalesce("label", "node").alias("label"))
+    third = checked_edges(materialize(members.join(sets, "node"), "members"), similarity)
+    return first.unionByName(materialize(second, "second")).unionByName(materialize(third, "third"))
+
+
+def _holds_map(kind) -> bool:
+    return "map<" in kind.simpleString()
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = NEAR_SIMILARITY, width: int = NEAR_WIDTH) -> DataFrame:
-    """docs with one row of each group of near copies: that of the smallest id. Same columns.
+    """docs with one row of each group of near copies: that of the smallest id. Same columns, of any names and types.
 
-    Near copies are all rows joined by links of at least this exact Jaccard similarity of their shingle sets: common rare
-    shingles find groups of candidates without a loss, and in a group, all rows that are not joined yet are compared. Rows
-    of equal sets need no check. A row is told from others by its id and a hash of all its columns; of rows alike in all
-    of these, one stays.
+    Near copies are all rows joined by links of at least this exact Jaccard similarity of their shingle sets; rows of
+    equal sets (of no words too) are copies of each other. Null ids come last. A row is told from others by its id and a
+    128-bit hash of all its columns; of rows alike in all of these, one stays.
     """
     bounded_batches(docs.sparkSession)
-    tie = F.xxhash64(*[by_name(docs, c) for c in docs.columns])
+    hashed = [F.to_json(F.struct(by_name(docs, f.name))) if _holds_map(f.dataType) else by_name(docs, f.name) for f in docs.schema.fields]
+    tie = F.concat(F.hex(F.xxhash64(*hashed)), F.lit("/"), F.hex(F.xxhash64(F.lit(1), *hashed)))
     own = by_name(docs, key).cast("long")
-    rows = materialize(docs.select(own.alias("id"), tie.alias("tie"), _least(width, similarity)(by_name(docs, text)).alias("set")), "least")
-    rows = rows.select("id", "tie", "set.*")
-    # a node is named by a number of its own set, so that repeated and null ids can't meet
-    firsts = rows.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tie", "spare", "least")).alias("first"))
-    firsts = materialize(firsts.select("node", "first.*"), "nodes")
-    nodes = firsts.select("node", "id", "tie")
-    met = components(near_candidates(firsts))
-    members = met.unionByName(met.select(F.col("root").alias("node"), "root").distinct())
-    wanted = nodes.join(members, "node").select("node", "root", "id", "tie")
-    texts = docs.select(own.alias("id"), tie.alias("tie"), by_name(docs, text).alias("body"))
-    sets = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]) & (texts["tie"] == wanted["tie"])).select("node", "root", "body").dropDuplicates(["node"]).select("node", "root", _sets(width)("body").alias("set"))
-    edges = materialize(checked_edges(materialize(sets, "sets"), similarity), "edges")
-    roots = components(edges)
-    grouped = nodes.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    kept = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tie")).alias("first")).select(F.col("first")["id"].alias("__kept_id"), F.col("first")["tie"].alias("__kept_tie"))
-    twins = rows.groupBy("id", "tie").count().where(F.col("count") > 1)
-    mark = fresh(docs, base="tie")
-    marked = docs.withColumn(mark, tie)
-    out = marked.join(kept, by_name(marked, key).cast("long").eqNullSafe(F.col("__kept_id")) & (F.col(mark) == F.col("__kept_tie")), "left_semi")
-    out = out.drop(mark)
-    return out.dropDuplicates() if not twins.isEmpty() else out
+    with scratch() as keep:
+        rows = materialize(docs.select(own.alias("id"), tie.alias("tie"), _read(width, similarity)(by_name(docs, text)).alias("set")).select("id", "tie", "set.*"), "rows")
+        twins = not rows.groupBy("id", "tie").count().where(F.col("count") > 1).isEmpty()
+        same = ("size", "needed", "spare", "print", "least")
+        nodes = rows.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tie")).alias("first"), *[F.first(c).alias(c) for c in same])
+        # nodes are numbered, so that no two sets can share a name
+        nodes = keep(materialize(nodes.select(F.monotonically_increasing_id().alias("node"), "first.*", *same), "nodes"))
+    with scratch() as keep:
+        keys = materialize(shared_keys(nodes), "keys")
+        wanted = nodes.select("node", F.col("id").alias("wid"), F.col("tie").alias("wtie")).join(keys.select("node").distinct(), "node")
+        texts = docs.select(own.alias("id"), tie.alias("tie"), by_name(docs, text).alias("body"))
+        sets = texts.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("tie") == F.col("wtie"))).select("node", _sets(width)("body").alias("set"))
+        sets = materialize(sets.dropDuplicates(["node"]) if twins else sets, "sets")
+        roots = components(near_edges(nodes, keys, sets, similarity))
+        grouped = nodes.select("node", "last", "id", "tie").join(roots, "node", "left")
+        kept = grouped.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min(F.struct("last", "id", "tie")).alias("first"))
+        kept = keep(materialize(kept.select("first.id", "first.tie"), "kept"))
+    id_name, tie_name, own_id, own_tie = (fresh(docs, base=b) for b in ("kept_id", "kept_tie", "id", "tie"))
+    kept = kept.select(F.col("id").alias(id_name), F.col("tie").alias(tie_name))
+    marked = docs.withColumns({own_id: own, own_tie: tie})
+    out = marked.join(kept, F.col(own_id).eqNullSafe(F.col(id_name)) & (F.col(own_tie) == F.col(tie_name)), "left_semi")
+    return (out.dropDuplicates([own_id, own_tie]) if twins else out).drop(own_id, own_tie)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

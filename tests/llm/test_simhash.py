@@ -88,6 +88,33 @@ def test_awkward_rows(spark, awkward, empty):
     assert S.near_components(empty).count() == 0
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_repeated_and_null_ids(spark, monkeypatch):
+    """Fingerprints are given as texts: rows of one id are no vertex, and rows without an id join others."""
+    monkeypatch.setattr(S, "fingerprint", lambda text, width: F.array(text.cast("long")))
+    rng = random.Random(11)
+    a, b = rng.getrandbits(64), rng.getrandbits(64)
+    near = lambda x, *bits: x ^ sum(1 << i for i in bits)
+    rows = [(1, near(a, 1)), (7, a), (7, b), (9, near(b, 2))]
+    bridge = rng.getrandbits(64)
+    rows += [(20, near(bridge, 1, 2, 3)), (None, bridge), (21, near(bridge, 4, 5, 6)), (None, rng.getrandbits(64))]
+    df = spark.createDataFrame([(i, str(signed(p))) for i, p in rows], "doc_id long, text string")
+    got = sorted(((r["id"] or -1, r["print"], r["component"]) for r in S.near_components(df).collect()), key=str)
+    want = [(1, 1), (7, 1), (7, 7), (9, 7), (20, 20), (-1, 20), (21, 20), (-1, None)]
+    assert got == sorted(((i, signed(p), c) for (_, p), (i, c) in zip(rows, want, strict=True)), key=str)
+    # drawn rows, against plain groups
+    prints = [c ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 4))) for c in (a, b, bridge) for _ in range(20)]
+    ids = [rng.choice([None, *range(12)]) for _ in prints]
+    root = groups(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
+    name = {r: min((i for i, q in zip(ids, root, strict=True) if q == r and i is not None), default=None) for r in root}
+    df = spark.createDataFrame([(i, str(signed(p))) for i, p in zip(ids, prints, strict=True)], "doc_id long, text string")
+    got = sorted(((r["id"], r["print"], r["component"]) for r in S.near_components(df).collect()), key=str)
+    assert got == sorted(((i, signed(p), name[r]) for i, p, r in zip(ids, prints, root, strict=True)), key=str)
+
+
 def test_drop_near_copies(spark, awkward, empty):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(4000)]
@@ -123,10 +150,13 @@ def test_similar_links_against_brute_force(spark):
     plain = [set(s.tolist()) for s in sets]
     want = groups(len(sets), [(i, j) for i in range(len(sets)) for j in range(i) if len(plain[i] & plain[j]) / len(plain[i] | plain[j]) >= 0.8])
     assert groups(len(sets), S.similar_links(sets, 0.8)) == want
-    rows = spark.createDataFrame([(i, 0, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, root long, set binary")
-    for rows_at_a_time, size in ((1024, 1 << 20), (20, 1 << 20), (1024, 5000)):
-        edges = S.checked_edges(rows, 0.8, rows_at_a_time, size).collect()
-        assert groups(len(sets), [(r["a"], r["b"]) for r in edges]) == want
+    for labels in (list(range(len(sets))), [w if i % 3 else i for i, w in enumerate(want)]):
+        joined = [(i, w) for i, w in enumerate(labels) if i != w]
+        assert groups(len(sets), S.similar_links(sets, 0.8, labels) + joined) == want
+        rows = spark.createDataFrame([(i, labels[i], 0, s.tolist()) for i, s in enumerate(sets)], "node long, label long, root long, set array<long>")
+        for rows_at_a_time, size in ((1024, 1 << 20), (20, 1 << 20), (1024, 5000)):
+            edges = S.checked_edges(rows, 0.8, rows_at_a_time, size).collect()
+            assert groups(len(sets), [(r["a"], r["b"]) for r in edges] + joined) == want
 
 
 def test_copies_that_only_the_original_joins(spark):
@@ -161,9 +191,9 @@ def test_near_copies_have_a_key_in_common():
             salt = rng.random()
             keys = []
             for own in pair:
-                looked, kept = S.least_hashes(len(own), 0.8)
-                keys.append(set(sorted(own[:looked], key=lambda x: hash((x, salt)))[:kept]))
-            assert keys[0] & keys[1]
+                looked, kept, needed = S.least_hashes(len(own), 0.8)
+                keys.append((set(sorted(own[:looked], key=lambda x: hash((x, salt)))[:kept]), needed))
+            assert len(keys[0][0] & keys[1][0]) >= min(keys[0][1], keys[1][1]) >= 1
 
 
 def test_no_near_copy_is_missed(spark):
@@ -184,6 +214,44 @@ def test_no_near_copy_is_missed(spark):
     assert sorted(r["k"] // 2 for r in S.drop_near_copies(docs).collect()) == list(range(600))
 
 
+@pytest.mark.parametrize("pair_rows", [2, 16])
+def test_near_edges_against_brute_force(spark, pair_rows):
+    """Groups of one text's copies with few and many edits, common lines, short texts: all ways to a link are used."""
+    rng = random.Random(21)
+    lines = [[f"line{k}.{i}" for i in range(25)] for k in range(3)]
+    texts = []
+    for g in range(12):
+        base = [f"g{g}.{i}" for i in range(rng.choice([4, 6, 9, 30, 80, 150]))] + rng.choice(lines)
+        for _ in range(rng.choice([1, 2, 6, 25])):
+            copy = list(base)
+            for _ in range(rng.randint(0, 1 + len(base) // 40)):
+                copy[rng.randrange(len(copy))] = f"x{rng.random()}"
+            texts.append(copy)
+    texts += [rng.choice(lines) + [f"own{k}"] for k in range(10)]
+    sets = [set(zip(*[t[i:] for i in range(5)], strict=False)) or {tuple(t)} for t in texts]
+    want = groups(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8])
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "node long, text string")
+    nodes = df.select("node", S._read(5, 0.8)(F.col("text")).alias("s")).select("node", "s.*")
+    own = df.select("node", S._sets(5)(F.col("text")).alias("set"))
+    edges = [(r["a"], r["b"]) for r in S.near_edges(nodes, S.shared_keys(nodes), own, pair_rows=pair_rows).collect()]
+    assert all(len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8 for a, b in edges)
+    # nodes of equal sets are one node in use; here they may stay apart only if no key tells them
+    assert groups(len(texts), edges) == want
+
+
+def test_columns_of_any_name_and_type(spark):
+    names = ["kept_id", "__kept_id_0", "__kept_tie_0", "id", "tie", "a.b", "Node", "set"]
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "one two three four five six"), (3, "other"), (3, "other"), (None, None)], "doc_id long, text string")
+    for c in names:
+        docs = docs.withColumn(c, F.lit(c))
+    docs = docs.withColumn("m", F.create_map(F.lit("k"), F.lit(1))).withColumn("deep", F.array(F.struct(F.create_map(F.lit("k"), F.lit(1)).alias("x"))))
+    out = S.drop_near_copies(docs)
+    assert out.columns == docs.columns
+    rows = sorted(out.collect(), key=str)
+    assert sorted(str(r["doc_id"]) for r in rows) == ["1", "3", "None"]
+    assert all(r[c] == c for r in rows for c in names) and all(r["m"] == {"k": 1} for r in rows)
+
+
 def test_query(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("text")).collect()
     prints = [plain_print(r["text"], 4) for r in rows]
