@@ -7,8 +7,8 @@ copy.
 
 Defined results. Documents of sources without a weight of their own (null among them) share `other`, pooled as one
 source. A null key counts as the empty string; repeated keys are drawn alike. Null texts have size 0. A pool without
-characters, or a weight of 0, gives rate 0 and no rows. Empty tables give empty results. Columns stay as they are; the
-added ones take the names given.
+characters, or a weight of 0, gives rate 0 and no rows. Empty tables give empty results. Columns stay as they are,
+whatever their names and types; an added one gets a number if its name is taken (copy_1).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import by_name, fresh, table, unit_hash
+from foliospark.llm.common import by_name, free_name, fresh, quoted, table, unit_hash
 
 #: Weights by source; every other source, and a null one, is in the pool of OTHER.
 WEIGHTS = {f"src{i}": 1.0 + (i % 4) for i in range(20)}
@@ -56,19 +56,22 @@ def replicate(docs: DataFrame, weights: dict[str, float], other: float = OTHER,
 
     The order is that of partitions and order keys. What is broadcast has as many rows as there are weights, plus one.
     """
-    pool, count = fresh(docs, base="pool"), fresh(docs, base="count")
+    pool, count, copy_no, mixed = (fresh(docs, base=b) for b in ("pool", "count", "copy", "order"))
     per_pool = F.broadcast(rates(docs, weights, other, source, text, total).withColumnRenamed("pool", pool))
     named = F.array(*[F.lit(k) for k in weights]) if weights else F.array().cast("array<string>")
-    own, names = by_name(docs, source).cast("string"), list(docs.columns)
-    with_pool = docs.select(*[by_name(docs, c) for c in names], F.when(F.array_contains(named, own), own).alias(pool))
+    own, names = by_name(docs, source).cast("string"), [quoted(c) for c in docs.columns]
+    with_pool = docs.withColumn(pool, F.when(F.array_contains(named, own), own))
     joined = with_pool.alias("d").join(per_pool.alias("p"), F.col(f"d.{pool}").eqNullSafe(F.col(f"p.{pool}")))
-    key_col = F.col(f"d.`{key}`")
-    drawn = F.aggregate(F.sequence(F.lit(1), F.col("p.steps")), F.lit(0), lambda a, j: a + F.size(F.filter("p.sums", lambda c: c <= unit_hash(F.lit(seed), key_col, j))))
-    counted = joined.select(*[F.col(f"d.`{c}`") for c in names], drawn.alias(count)).where(F.col(count) > 0)
-    copies = counted.select(*[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias(copy))
-    keyed = copies.withColumn(order, F.md5(F.concat_ws(":", F.lit(f"order/{seed}"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), F.col(copy).cast("string")).cast("binary")))
-    dealt = keyed.repartition(partitions, order) if partitions else keyed.repartition(order)
-    return dealt.sortWithinPartitions(order)
+    key_col = F.col(f"d.{quoted(key)}")
+    # one number is hashed for each step; a step counts the sums that it isn't below
+    numbers = F.transform(F.sequence(F.lit(1), F.col("p.steps")), lambda j: unit_hash(F.lit(seed), key_col, j))
+    drawn = F.aggregate(numbers, F.lit(0), lambda a, u: a + F.size(F.filter("p.sums", lambda c: c <= u)))
+    counted = joined.select(*[F.col(f"d.{c}") for c in names], drawn.alias(count)).where(F.col(count) > 0)
+    copies = counted.select(*names, F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias(copy_no))
+    keyed = copies.withColumn(mixed, F.md5(F.concat_ws(":", F.lit(f"order/{seed}"), F.coalesce(F.col(quoted(key)).cast("string"), F.lit("")), F.col(copy_no).cast("string")).cast("binary")))
+    dealt = keyed.repartition(partitions, mixed) if partitions else keyed.repartition(mixed)
+    copy, order = free_name(docs, copy), free_name(docs, order)
+    return dealt.sortWithinPartitions(mixed).withColumnsRenamed({copy_no: copy, mixed: order})
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,9 @@ def test_large_rates_and_repeats_of_a_key(spark):
 def test_awkward_rows(awkward, empty):
     out = replicate(awkward, {"src1": 1.0}, 1.0, copy="nth", order="place")
     assert out.columns == [*awkward.columns, "nth", "place"] and {r["score"] for r in out.collect()} == {"kept"}
+    out = replicate(awkward, {"src1": 1.0}, 1.0)
+    assert out.columns == [*awkward.columns, "copy_1", "order_key_1"]
+    assert {(r["copy"], r["Order_Key"], r["a.b"]) for r in out.collect()} == {("kept",) * 3} and {len(r["order_key_1"]) for r in out.collect()} == {32}
     assert replicate(empty, {"src1": 1.0}).count() == 0
     with pytest.raises(ValueError):
         replicate(awkward, {"src1": -1.0})
