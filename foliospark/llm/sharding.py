@@ -4,8 +4,10 @@ Each (key, shard) pair draws a uniform number from md5; the record goes to the s
 -weight / ln(u). A shard's draws don't depend on the other shards, so one more shard takes records only into itself.
 
 Defined results. A null key counts as the empty string. Repeated keys share a shard, whatever their other columns.
-Null texts have size 1 and the CRC of no bytes. Empty tables give empty results. Other columns are kept as they are.
-Slots are numbered by (bucket of the key, key as text, CRC of the text, size); rows alike in all of these are interchangeable.
+Null texts have size 1 and the CRC of no bytes. Empty tables give empty results. Other columns are kept as they are,
+whatever their names: the added column gets a number if its name is taken (shard_1). Slots are numbered by (bucket of
+the key, key as text, CRC of the text, size); rows alike in all of these are interchangeable, and are counted before they
+are shuffled, so a key that repeats without end costs one row of a window.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import by_name, fresh, table
+from foliospark.llm.common import by_name, free_name, fresh, quoted, table
 
 N_SHARDS = 8
 #: Ranges of keys in which slots are counted apart, so that no task holds a whole shard.
@@ -43,31 +45,49 @@ def shard_key(df: DataFrame, key: str) -> Column:
 
 
 def assign_shards(df: DataFrame, key: str = "doc_id", n_shards: int = N_SHARDS, weights: list[float] | None = None, into: str = "shard") -> DataFrame:
-    """df with its shard: no shuffle."""
-    return df.withColumn(into, rendezvous(shard_key(df, key), n_shards, weights))
+    """df with its shard, in a column `into` or, if df has one, the first free of `into`_1, ...: no shuffle."""
+    return df.withColumn(free_name(df, into), rendezvous(shard_key(df, key), n_shards, weights))
 
 
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", n_shards: int = N_SHARDS, weights: list[float] | None = None, tasks_per_shard: int = 16) -> None:
-    """One folder of Parquet files per shard, shard=N; each shard is written by several tasks."""
-    part, shard = fresh(df, base="part"), fresh(df, base="shard")
-    dealt = assign_shards(df, key, n_shards, weights, shard).withColumn(part, F.pmod(F.xxhash64(shard_key(df, key)), F.lit(tasks_per_shard)))
-    dealt.repartition(n_shards * tasks_per_shard, shard, part).drop(part).withColumnRenamed(shard, "shard").write.partitionBy("shard").parquet(path)
+    """One folder of Parquet files per shard, shard=N (or shard_1=N, if df has a shard); each shard is written by several tasks.
+
+    Rows are dealt to the tasks of a shard by a hash of their key and, as one key may hold many rows, of the partition
+    that they come from.
+    """
+    part, shard = fresh(df, base="part"), free_name(df, "shard")
+    spread = F.pmod(F.xxhash64(shard_key(df, key), F.spark_partition_id()), F.lit(tasks_per_shard))
+    dealt = assign_shards(df, key, n_shards, weights).withColumn(part, spread)
+    dealt.repartition(n_shards * tasks_per_shard, shard, part).drop(part).write.partitionBy(shard).parquet(path)
+
+
+#: Slots of equal rows that one row of a number table makes at a time.
+SLOT_RUN = 10_000
 
 
 def number_slots(dealt: DataFrame, shard: str, key: str, ties: list[str], buckets: int = SLOT_BUCKETS, into: str = "slot") -> DataFrame:
-    """dealt with gapless numbers from 0 in each shard.
+    """dealt, which has no map columns, with gapless numbers from 0 in each shard.
 
-    Numbers within (shard, bucket of the key) by a window, shifted by the counts of the buckets before: a table of
-    at most shards x buckets rows, which is broadcast.
+    Equal rows are counted before the shuffle; a window over (shard, bucket of the key) numbers what is left, shifted by
+    the counts of the buckets before: a table of at most shards x buckets rows, which is broadcast.
     """
-    bucket, start, n = (fresh(dealt, base=b) for b in ("bucket", "start", "n"))
-    key_text = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    found = dealt.withColumn(bucket, F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit("slot/"), key_text).cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int"))
-    counts = found.groupBy(shard, bucket).agg(F.count(F.lit(1)).alias(n))
-    before = Window.partitionBy(shard).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(shard, bucket, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
-    own = F.row_number().over(Window.partitionBy(shard, bucket).orderBy(key_text, *ties)) - 1
-    return found.withColumn(into, own.cast("long")).join(F.broadcast(starts), [shard, bucket]).withColumn(into, F.col(into) + F.col(start)).drop(bucket, start)
+    bucket, start, n, at = (fresh(dealt, base=b) for b in ("bucket", "start", "n", "at"))
+    key_text = F.coalesce(by_name(dealt, key).cast("string"), F.lit(""))
+    placed = F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit("slot/"), key_text).cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+    names, slot = [quoted(c) for c in dealt.columns], free_name(dealt, into)
+    own = quoted(shard)
+    found = dealt.withColumn(bucket, placed).groupBy(*names, bucket).agg(F.count(F.lit(1)).alias(n))
+    counts = found.groupBy(own, bucket).agg(F.sum(n).alias(n))
+    shift = Window.partitionBy(own).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col(own).alias(f"{start}s"), F.col(bucket).alias(f"{bucket}s"), F.coalesce(F.sum(n).over(shift), F.lit(0)).alias(start))
+    key_text = F.coalesce(F.col(quoted(key)).cast("string"), F.lit(""))
+    before = Window.partitionBy(own, bucket).orderBy(key_text, *[quoted(t) for t in ties], *names).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = found.withColumn(at, F.coalesce(F.sum(n).over(before), F.lit(0)))
+    met = numbered.join(F.broadcast(starts), F.col(own).eqNullSafe(F.col(f"{start}s")) & (F.col(bucket) == F.col(f"{bucket}s")))
+    # first the starts of runs, then the numbers of each run: no array is longer than a run, or than the runs of a row
+    runs = met.select(*names, (F.col(at) + F.col(start)).alias(at), n, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(SLOT_RUN).cast("long"))).alias(bucket))
+    every = runs.select(*names, at, F.explode(F.sequence(F.col(bucket), F.least(F.col(bucket) + (SLOT_RUN - 1), F.col(n) - 1))).alias(n))
+    return every.select(*names, (F.col(at) + F.col(n)).alias(slot))
 
 
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,28 @@ def test_awkward_rows(awkward, empty):
     assert len(got) == awkward.count() and all(0 <= r["part"] < 8 and r["score"] == "kept" for r in got)
     assert len({r["part"] for r in got if r["doc_id"] == 4}) == 1
     assert assign_shards(empty, into="part").count() == 0
+    out = assign_shards(awkward)
+    assert out.columns == [*awkward.columns, "shard_1"] and {r["shard"] for r in out.collect()} == {r["shard"] for r in awkward.collect()}
+    assert assign_shards(out).columns[-2:] == ["shard_1", "shard_2"]
+
+
+def test_slots_of_awkward_rows(awkward, empty):
+    """Null and repeated keys, names with dots, and a key that holds most rows."""
+    digest = lambda df: assign_shards(df.drop("tags", "shard").withColumnRenamed("doc_id", "doc.id"), key="doc.id", n_shards=2)
+    got = number_slots(digest(awkward), "shard", "doc.id", ["a.b"])
+    assert got.columns[-1] == "slot_1" and got.count() == awkward.count()
+    for s in (0, 1):
+        assert sorted(r["slot_1"] for r in got.where(F.col("shard") == s).collect()) == list(range(got.where(F.col("shard") == s).count()))
+    assert number_slots(digest(empty), "shard", "doc.id", ["a.b"]).count() == 0
+
+
+def test_slots_of_one_hot_row(spark, monkeypatch):
+    from foliospark.llm import sharding
+
+    monkeypatch.setattr(sharding, "SLOT_RUN", 7)
+    rows = spark.range(100).select(F.when(F.col("id") < 60, 5).otherwise(F.col("id")).alias("doc_id"), F.lit(0).alias("shard"), F.lit(1).alias("c"))
+    got = number_slots(rows, "shard", "doc_id", ["c"], buckets=4).collect()
+    assert sorted(r["slot"] for r in got) == list(range(100)) and sum(r["doc_id"] == 5 for r in got) == 60
 
 
 def test_slots_are_gapless(spark):
