@@ -7,7 +7,9 @@ header: those that fail are dropped.
 
 Defined results. Null and empty texts: no spans. Repeated rows: one result row each. Spans of different kinds may
 overlap; those of one kind don't (leftmost first). Ties in start go by the order of KINDS. Very long texts are scanned
-in whole. Offsets are code points, ends exclusive. Other columns are not read.
+in whole, in time that grows with their length only: no stretch that failed a kind is tried again from a later start in
+it. Offsets are code points, ends exclusive. Other columns are kept, whatever their names: the added one gets a number if
+its name is taken (secrets_1).
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bounded_batches, by_name, chunks, table
+from foliospark.llm.common import bounded_batches, by_name, chunks, free_name, table
 
 #: In the order of the spans. The first three are the base kinds.
 KINDS = ["assign", "access", "hex", "github", "npm", "iban", "jwt", "pem", "slack", "stripe", "google"]
@@ -36,12 +38,15 @@ PATTERNS = {
     "github": (["ghp_", "gho_", "ghu_", "ghs_", "ghr_"], r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"),
     "npm": (["npm_"], r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"),
     "iban": (["iban"], r"(?a:(?i:iban)\x20*[:=]?\x20*([A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})(?![A-Za-z0-9]))"),
-    "jwt": (["eyj"], r"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+    "jwt": (["eyj"], r"(eyJ[A-Za-z0-9_-]++)\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+"),
     "pem": (["-----begin "], r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     "slack": (["xoxb-", "xoxp-"], r"xox[bp]-[A-Za-z0-9-]{10,}"),
     "stripe": (["sk_live_"], r"sk_live_[A-Za-z0-9]{16,}"),
     "google": (["aiza"], r"AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"),
 }
+#: Of kinds whose pattern begins with an open run of signs: that run. What follows it decides for every start in it, so
+#: where one start fails, all later ones in the run do.
+RUNS = {"jwt": r"eyJ[A-Za-z0-9_-]*+"}
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -85,6 +90,7 @@ class Scanner:
                 self.automaton.add_word(k, (kind, len(k)))
         self.automaton.make_automaton()
         self.patterns = {kind: re.compile(p) for kind, (_, p) in PATTERNS.items()}
+        self.runs = {kind: re.compile(p) for kind, p in RUNS.items()}
         self.hex = np.zeros(256, dtype=bool)
         self.hex[list(b"0123456789abcdef")] = True
 
@@ -93,10 +99,16 @@ class Scanner:
         hits = [(end + 1 - n, kind) for end, (kind, n) in self.automaton.iter(lower)]
         spans, free = [], {}
         for start, kind in sorted(hits):
-            if start >= free.get(kind, 0) and (m := self.patterns[kind].match(text, start)):
+            if start < free.get(kind, 0):
+                continue
+            if m := self.patterns[kind].match(text, start):
                 free[kind] = m.end()
                 if kind not in CHECKS or CHECKS[kind](m):
                     spans.append((kind, start, m.end()))
+                elif kind in self.runs:
+                    free[kind] = m.end(1)  # the next run may begin a good one
+            elif kind in self.runs and (m := self.runs[kind].match(text, start)):
+                free[kind] = m.end()
         return spans
 
     def hexes(self, texts: list[bytes]) -> dict[int, list[tuple[int, int]]]:
@@ -151,8 +163,9 @@ def secret_spans(text: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
+    """docs with an array of spans (kind, start, stop), in a column `into` or the first free of `into`_1, ..."""
     bounded_batches(docs.sparkSession)
-    return docs.withColumn(into, secret_spans(by_name(docs, text)))
+    return docs.withColumn(free_name(docs, into), secret_spans(by_name(docs, text)))
 
 
 def _listed(spans: Column) -> Column:

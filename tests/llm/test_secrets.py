@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 from foliospark.llm.secrets import KINDS, find_secrets, op4_secrets, scan_texts
@@ -52,6 +53,24 @@ def test_awkward_rows(awkward, empty):
     got = find_secrets(awkward, into="found").select("doc_id", "found", "score").collect()
     assert len(got) == awkward.count() and all(not r["found"] and r["score"] == "kept" for r in got)
     assert find_secrets(empty, into="found").count() == 0
+    assert find_secrets(awkward).columns == [*awkward.columns, "secrets_1"]
+
+
+def test_time_grows_with_length_only():
+    """Long runs of hits of each kind that come to nothing, and one that does at its end."""
+    n = 1 << 20
+    for part in ("eyJ", "eyJa.eyJ", "AKIA", "token", "password ", "ghp_", "iban ", "-----BEGIN ", "-----BEGIN A ", "xoxb-", "abcdef", "AIza", "eyJ.", "eyJa.eyJb."):
+        began = time.time()
+        spans(part * (n // len(part)))
+        assert time.time() - began < 8, part
+    began = time.time()
+    assert not [s for s in spans("eyJ" * (n // 3)) if s[0] == "jwt"] and time.time() - began < 2
+
+
+def test_tokens_after_failed_runs():
+    head = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
+    assert [s for s in spans("eyJx eyJyeyJz." + head + ".eyJh.sig") if s[0] == "jwt"] == [("jwt", 14, 14 + len(head) + 9)]
+    assert [s[0] for s in spans("xeyJ." + head + ".eyJh.sig_eyJ") if s[0] == "jwt"] == ["jwt"]
 
 
 def test_query(spark, sf_dir):
