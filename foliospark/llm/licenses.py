@@ -94,7 +94,8 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", base: l
         met = met & s
     votes = rows.alias("d").join(grams, met, "left").where(F.col("tid").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))
     votes = votes.select("row", "key", "n_words", "tid", "label", "exact", "n_grams", "pos", "tpos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
-    lines = votes.repartition("row").groupBy("row", "key", "n_words", "tid", "label", "exact", "n_grams", "diagonal").agg(
+    # counted before the shuffle, and then by document and template: a long document is no single task
+    lines = votes.groupBy("row", "key", "n_words", "tid", "label", "exact", "n_grams", "diagonal").agg(
         F.count("tid").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("tpos").alias("met"))
     before = Window.partitionBy("row", "tid").orderBy("diagonal")
     apart = F.coalesce(F.col("exact"), F.lit(True)) | F.coalesce(F.col("diagonal") - F.lag("diagonal").over(before) > DRIFT, F.lit(True))
