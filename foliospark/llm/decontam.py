@@ -1,30 +1,38 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
-The normalised benchmark items are built into suffix automata over word ids, at most `block_words` words each, which
-are broadcast (so the broadcast is bounded whatever the benchmark's size). Training tokens are streamed through each
-automaton; the longest matching length at each position gives the hit words, and spans over the length or coverage
+The normalised benchmark items are built into suffix automata over word ids, at most `block_words` words each: tasks
+build them, and each is broadcast by itself. A worker keeps as many as fit RESIDENT bytes; of a larger benchmark it
+loads the others once for each Arrow batch of texts. Training tokens are numbered once per batch and streamed through
+each automaton; the longest matching length at each position gives the hit words, and spans over the length or coverage
 limits are removed.
 
 Defined results. Null or wordless text: no words, no hits, not contaminated. Items without words: never match. Items of
 fewer words than the window: one window, the whole item. Repeated item_ids count once; a null item_id is the empty
 string. Repeated rows and rows with equal texts are judged alike, one result row each. Empty benchmark: no hits.
-Very long texts are streamed in whole; other columns are never touched, whatever their names.
+Very long texts are streamed in whole; other columns are never touched, whatever their names, and the added one gets a
+number if its name is taken (leak_1). Items shorter than the length limit count as hits, and towards coverage, but are
+no passage to cut: a few words by themselves are an ordinary phrase.
 """
 
 from __future__ import annotations
 
+import itertools
+import pickle
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import as_bytes, bounded_batches, by_name, chunks, fresh, table, words_of
+from foliospark.llm.common import _WORD_BYTES, as_bytes, bounded_batches, by_name, free_name, fresh, table, words_of
 
 WINDOW = 13
 #: Words of the benchmark in one automaton: bounds what is broadcast and held at a time.
 BLOCK_WORDS = 100_000
+#: Bytes of packed automata that a worker keeps between batches; those beyond are loaded anew for each batch.
+RESIDENT = 128 << 20
 RESULT = "struct<n_words:bigint,n_hit:bigint,longest:int,spans:array<struct<start:int,stop:int>>,items:array<string>>"
 _FILTER_BITS = 22
 
@@ -138,6 +146,11 @@ class Block:
             if stop - start + 1 >= self.shortest:
                 yield start, stop + 1
 
+    def number(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
+        """The block's own numbers of a text's words, -1 for unknown ones; words: the distinct ones, at: which stands where."""
+        get = self.vocabulary.get
+        return np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))[at]
+
     def scan(self, ids: np.ndarray, hit: np.ndarray, longest: np.ndarray, found):
         """Mark the hit words and the longest matching lengths; call found(position, names)."""
         step, link, length, radix, window = self.step, self.link, self.length, self.radix, self.window
@@ -162,31 +175,32 @@ class Block:
                         found(i, names)
 
 
-def blocks_of(items, window: int, block_words: int):
-    """Blocks of at most block_words words (one item at least) from (item_id, text) rows."""
+def cut_blocks(items, block_words: int):
+    """Lists of (item_id, words), of at most block_words words each (one item at least), from (item_id, text) rows."""
     held, n = [], 0
     for item_id, text in items:
         words = words_of((text or "").encode())
         if not words:
             continue
         if held and n + len(words) > block_words:
-            yield Block(held, window)
+            yield held
             held, n = [], 0
         held.append(("" if item_id is None else str(item_id), words))
         n += len(words)
     if held:
-        yield Block(held, window)
+        yield held
 
 
 _BREAK = b"\x01"
 
 
-def scan_texts(texts: list[bytes], blocks: list) -> list[dict]:
-    """The result of each text against all blocks. blocks: callables that give a Block."""
-    from foliospark.llm.common import _WORD_BYTES
-
+def scan_texts(texts: list[bytes], blocks) -> list[dict]:
+    """The result of each text against all blocks (an iterable)."""
     words = (b" " + _BREAK + b" ").join([t.translate(_WORD_BYTES) for t in texts]).split() if texts else []
     breaks = [-1, *(i for i, w in enumerate(words) if w == _BREAK), len(words)] if len(texts) > 1 else [-1, len(words)]
+    known: dict[bytes, int] = {}
+    at = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int64, count=len(words))
+    distinct = list(known)
     hit, longest = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int32)
     names: dict[int, set[str]] = {}
     starts = np.asarray(breaks[:-1]) + 1
@@ -195,9 +209,7 @@ def scan_texts(texts: list[bytes], blocks: list) -> list[dict]:
         names.setdefault(int(np.searchsorted(starts, i, side="right")) - 1, set()).update(got)
 
     for block in blocks:
-        b = block()
-        get = b.vocabulary.get
-        b.scan(np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words)), hit, longest, found)
+        block.scan(block.number(distinct, at), hit, longest, found)
     out, total = [], np.concatenate(([0], np.cumsum(hit)))
     for k in range(len(texts)):
         a, z = breaks[k] + 1, breaks[k + 1]
@@ -210,46 +222,73 @@ def scan_texts(texts: list[bytes], blocks: list) -> list[dict]:
     return out
 
 
-def _loader(broadcast, n: int):
-    def load():
-        got = broadcast.value
-        if n > 1:
-            broadcast._value = None  # one block in memory at a time
-        return got
+#: What a worker keeps between tasks: the automata of one benchmark, by number.
+_HELD: dict[str, dict[int, Block]] = {}
+
+
+class Blocks:
+    """The automata of a benchmark as a worker sees them: broadcast in packed form, and kept while they fit `resident` bytes."""
+
+    def __init__(self, packed: list, sizes: list[int], resident: int):
+        self.packed, self.name = packed, uuid.uuid4().hex
+        self.kept = [total <= resident for total in itertools.accumulate(sizes)]
 
-    return load
+    def __iter__(self):
+        if self.name not in _HELD:
+            _HELD.clear()
+        held = _HELD.setdefault(self.name, {})
+        for k, packed in enumerate(self.packed):
+            block = held.get(k)
+            if block is None:
+                block = pickle.loads(packed.value)
+                del packed._value  # read again from its file when asked for
+                if self.kept[k]:
+                    held[k] = block
+            yield block
 
 
-def _broadcast_blocks(spark: SparkSession, benchmark: DataFrame, item_id: str, item_text: str, window: int, block_words: int) -> list:
+def _build(window: int):
+    def build(batches):
+        for batch in batches:
+            for k, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                packed = pickle.dumps(Block(pickle.loads(items), window))
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([packed])], names=["k", "packed"])
+
+    return build
+
+
+def automata(spark: SparkSession, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, resident: int = RESIDENT) -> Blocks:
+    """The automata of a benchmark, built by tasks. The driver sees its items, and one packed automaton, at a time."""
     bounded_batches(spark)
     rows = benchmark.select(by_name(benchmark, item_id).cast("string"), by_name(benchmark, item_text)).toLocalIterator()
-    return [spark.sparkContext.broadcast(b) for b in blocks_of(rows, window, block_words)]
+    cut = [(k, bytearray(pickle.dumps(items))) for k, items in enumerate(cut_blocks(rows, block_words))]
+    packed, sizes = [], []
+    if cut:
+        tasks = spark.createDataFrame(cut, "k long, items binary").repartition(len(cut), "k")
+        for r in tasks.mapInArrow(_build(window), "k long, packed binary").toLocalIterator():
+            packed.append(spark.sparkContext.broadcast(bytes(r["packed"])))
+            sizes.append(len(r["packed"]))
+    return Blocks(packed, sizes, resident)
 
 
-def _scanner(broadcasts: list):
-    loads = [_loader(b, len(broadcasts)) for b in broadcasts]
+def _scanner(blocks: Blocks):
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("longest", pa.int32()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("items", pa.list_(pa.string()))])
 
     @F.arrow_udf(RESULT)
     def scan(text: pa.Array) -> pa.Array:
-        out = []
-        for start, stop in chunks(text):
-            out += scan_texts(as_bytes(text.slice(start, stop - start)), loads)
-        return pa.array(out, type=kind)
+        return pa.array(scan_texts(as_bytes(text), blocks), type=kind)
 
     return scan
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, into: str = "leak") -> DataFrame:
-    """docs with a struct column `into`: n_words, n_hit, longest match, hit word spans, ids of items that occur."""
-    broadcasts = _broadcast_blocks(docs.sparkSession, benchmark, item_id, item_text, window, block_words)
-    return docs.withColumn(into, _scanner(broadcasts)(by_name(docs, text)))
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, into: str = "leak", resident: int = RESIDENT) -> DataFrame:
+    """docs with a struct column `into` (or the first free of `into`_1, ...): n_words, n_hit, longest match, hit word spans, ids of items that occur."""
+    blocks = automata(docs.sparkSession, benchmark, item_id, item_text, window, block_words, resident)
+    return docs.withColumn(free_name(docs, into), _scanner(blocks)(by_name(docs, text)))
 
 
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of these spans and what stands between them."""
-    from foliospark.llm.common import _WORD_BYTES
-
     places = [m.span() for m in re.finditer(rb"[^ ]+", text.translate(_WORD_BYTES))]
     out, at = [], 0
     for start, stop in spans:
@@ -258,22 +297,19 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def _cleaner(broadcasts: list, max_span: int, max_coverage: float):
+def _cleaner(blocks: Blocks, max_span: int, max_coverage: float):
     """A UDF of one pass: whether a text goes, and what it becomes if spans are cut (null if it stays as it is).
 
     It is declared not deterministic only so that Catalyst runs it once, not again for a filter on its result.
     """
-    loads = [_loader(b, len(broadcasts)) for b in broadcasts]
     kind = pa.struct([("goes", pa.bool_()), ("text", pa.string())])
 
     def clean(text: pa.Array) -> pa.Array:
-        out = []
-        for start, stop in chunks(text):
-            own = as_bytes(text.slice(start, stop - start))
-            for t, r in zip(own, scan_texts(own, loads), strict=True):
-                goes = r["n_hit"] > 0 and r["n_hit"] >= max_coverage * r["n_words"]
-                long = [] if goes else [(s["start"], s["stop"]) for s in r["spans"] if s["stop"] - s["start"] >= max_span]
-                out.append({"goes": goes, "text": cut_spans(t, long).decode() if long else None})
+        out, own = [], as_bytes(text)
+        for t, r in zip(own, scan_texts(own, blocks), strict=True):
+            goes = r["n_hit"] > 0 and r["n_hit"] >= max_coverage * r["n_words"]
+            long = [] if goes else [(s["start"], s["stop"]) for s in r["spans"] if s["stop"] - s["start"] >= max_span]
+            out.append({"goes": goes, "text": cut_spans(t, long).decode() if long else None})
         return pa.array(out, type=kind)
 
     return F.arrow_udf(clean, "struct<goes:boolean,text:string>").asNondeterministic()
@@ -286,7 +322,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", max
     one) follows it.
     """
     found = fresh(docs, base="leak")
-    blocks = _broadcast_blocks(docs.sparkSession, benchmark, "item_id", "text", WINDOW, BLOCK_WORDS)
+    blocks = automata(docs.sparkSession, benchmark)
     kept = docs.withColumn(found, _cleaner(blocks, max_span, max_coverage)(by_name(docs, text))).where(~F.col(found)["goes"])
     cut = F.col(found)["text"]
     columns = []
