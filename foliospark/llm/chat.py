@@ -11,7 +11,8 @@ can stand in a text, and unescaping is exact.
 Defined results. Null text or role: empty. A null conv_id is a conversation of its own; turns go by turn (nulls first),
 then role, then text, so ties and repeated rows have one order, and repeated rows are turns each. Empty texts keep their
 marks. Empty tables give only the conversation that the query adds. Other columns are not read. A conversation's output
-is one string, so it takes the memory of that conversation at least.
+is one string, so it takes the memory of that conversation at least; one of 2 GB or more can be no Spark string, and
+fails with an error that names it.
 """
 
 from __future__ import annotations
@@ -138,35 +139,52 @@ def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
 
 
 def _format_batches(batches):
-    held: pa.Table | None = None
+    """Held are slices of the last conversation seen, which may go on; only the ids of a new batch are looked at."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        held = rows if held is None else pa.concat_tables([held, rows])
-        ids = held.column("conv_id").to_pylist()
+        ids = batch.column(0).to_pylist()
+        if not ids:
+            continue
         cut = len(ids)
         while cut and ids[cut - 1] == ids[-1]:
             cut -= 1
-        if cut:
-            yield _format_rows(held.slice(0, cut))
-            held = held.slice(cut)
-    if held is not None and held.num_rows:
-        yield _format_rows(held)
+        if cut or (held and last != ids[-1]):
+            yield from _format_rows(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held = []
+        held.append(batch.slice(cut))
+        last = ids[-1]
+    if held:
+        yield from _format_rows(pa.Table.from_batches(held))
 
 
-def _format_rows(rows: pa.Table) -> pa.RecordBatch:
+#: Bytes of a string column, or of one string, that offsets of 32 bits reach.
+MOST_BYTES = (1 << 31) - 1
+
+
+def _format_rows(rows: pa.Table, most: int = MOST_BYTES):
+    """Batches of whole conversations, each of at most `most` bytes."""
     ids = rows.column("conv_id").to_pylist()
-    out, offsets, loss_start, loss_stop = assemble(as_bytes(rows.column("role").combine_chunks()), as_bytes(rows.column("text").combine_chunks()))
     first = [i for i, x in enumerate(ids) if not i or x != ids[i - 1]]
+    # escapes double a text at most, and a mark is short
+    if len(first) > 1 and 2 * rows.nbytes + 64 * len(ids) > most:
+        middle = first[len(first) // 2]
+        yield from _format_rows(rows.slice(0, middle), most)
+        yield from _format_rows(rows.slice(middle), most)
+        return
+    roles, texts = (as_bytes(pa.concat_arrays([c.cast(pa.large_binary()) for c in rows.column(n).chunks])) for n in ("role", "text"))
+    out, offsets, loss_start, loss_stop = assemble(roles, texts)
+    if len(out) > most:
+        raise ValueError(f"conversation {ids[0]} takes {len(out)} bytes, more than a string holds")
     bounds = np.append(np.array(first, dtype=np.int64), len(ids))
     starts = offsets[bounds]
-    kind = pa.large_string() if len(out) >= 2**31 else pa.string()
-    formatted = pa.Array.from_buffers(kind, len(first), [None, pa.py_buffer(starts.astype(np.int64 if kind == pa.large_string() else np.int32).tobytes()), pa.py_buffer(out)])
+    formatted = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(starts.astype(np.int32).tobytes()), pa.py_buffer(out)])
     of = np.searchsorted(starts, loss_start, side="right") - 1
     loss: list[list[dict]] = [[] for _ in first]
     for k, a, z in zip(of.tolist(), loss_start.tolist(), loss_stop.tolist(), strict=True):
         base = int(starts[k])
         loss[k].append({"start": a - base, "stop": z - base})
-    return pa.RecordBatch.from_arrays(
+    yield pa.RecordBatch.from_arrays(
         [pa.array([ids[i] for i in first], pa.int64()), pa.array(np.diff(bounds)), formatted, pa.array(loss, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
         names=["conv_id", "n_turns", "formatted", "loss"])
 

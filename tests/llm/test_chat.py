@@ -1,6 +1,9 @@
 import random
 
-from foliospark.llm.chat import ADDED, OP8_SQL, assemble, format_conversations, op8_chat, parse, unescape
+import pyarrow as pa
+import pytest
+
+from foliospark.llm.chat import ADDED, OP8_SQL, _format_rows, assemble, format_conversations, op8_chat, parse, unescape
 from tests.llm.compare import same
 
 PARTS = ["", "a", "é", "第", "\\", "[", "<", "[/INST]", " [/INST]", "</s>", "<s> ", "<<SYS>>", "\\[INST] ", "[ROLE x[:] y [/ROLE]", "\n", " "]
@@ -33,5 +36,17 @@ def test_conversation_over_many_batches(spark):
     assert [t.decode() for _, t in parse(got[1]["formatted"].encode())] == [str(i) for i in range(1, 7000, 2)]
 
 
+def test_output_is_cut_by_size():
+    """Batches hold whole conversations, within the limit; one that is too long by itself is named."""
+    rows = pa.table({"conv_id": [1, 1, 2, 3, 3, None], "role": ["user"] * 6, "text": ["[" * 40, "b", "c" * 60, "d", "é" * 30, "f"]})
+    whole = pa.Table.from_batches(list(_format_rows(rows)))
+    assert whole.num_rows == 4
+    for most in (200, 300, 900):
+        parts = list(_format_rows(rows, most))
+        assert pa.Table.from_batches(parts).to_pylist() == whole.to_pylist() and all(sum(len(t.encode()) for t in p.column(2).to_pylist()) <= most for p in parts)
+    with pytest.raises(ValueError, match="conversation 1 "):
+        list(_format_rows(rows, 90))
+
+
 def test_query(spark, sf_dir):
     assert same(op8_chat(spark, sf_dir), OP8_SQL, sf_dir)
