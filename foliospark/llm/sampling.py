@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import by_name
+from foliospark.llm.common import by_name, materialize, scratch
 
 #: Rows of a label at most, and the longest text that may be in a sample (whole texts only).
 ROWS_PER_LABEL = 4000
@@ -25,15 +25,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     twice counts once, with its smallest label; labels other than 0 and 1 are left out.
     """
     own = labels.select(by_name(labels, key).alias("id"), by_name(labels, label).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isin(0, 1))
-    own = own.groupBy("id").agg(F.min("y").alias("y")).where(train)
-    counts = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
-    order = F.xxhash64(F.lit(seed), F.col("id").cast("string"))
-    # half as many again, for texts that are null or too long
-    ids = [own.where(F.col("y") == y).orderBy(order, "id").limit(rows_per_label * 3 // 2) for y in (0, 1)]
-    chosen = F.broadcast(ids[0].unionByName(ids[1]))  # at most 3 * rows_per_label rows of id and label
-    texts = docs.select(by_name(docs, key).alias("id"), by_name(docs, text).alias("text")).where(F.length("text") <= longest)
-    rows = texts.join(chosen, "id").groupBy("id", "y").agg(F.min("text").alias("text"))
-    got = [rows.where(F.col("y") == y).orderBy(order, "id").limit(rows_per_label) for y in (0, 1)]
-    taken = got[0].unionByName(got[1]).toArrow()
+    with scratch():
+        own = materialize(own.groupBy("id").agg(F.min("y").alias("y")).where(train), "labels")
+        counts = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
+        order = F.xxhash64(F.lit(seed), F.col("id").cast("string"))
+        # half as many again, for texts that are null or too long
+        ids = [own.where(F.col("y") == y).orderBy(order, "id").limit(rows_per_label * 3 // 2) for y in (0, 1)]
+        chosen = F.broadcast(ids[0].unionByName(ids[1]))  # at most 3 * rows_per_label rows of id and label
+        texts = docs.select(by_name(docs, key).alias("id"), by_name(docs, text).alias("text")).where(F.length("text") <= longest)
+        # the documents are read once; both labels are then taken from a table of the chosen ones
+        rows = materialize(texts.join(chosen, "id").groupBy("id", "y").agg(F.min("text").alias("text")), "sample")
+        got = [rows.where(F.col("y") == y).orderBy(order, "id").limit(rows_per_label) for y in (0, 1)]
+        taken = got[0].unionByName(got[1]).toArrow()
     texts_out, ys = taken.column("text").to_pylist(), taken.column("y").to_pylist()
     return [t.encode() for t in texts_out], ys, {0: counts.get(0, 0), 1: counts.get(1, 0)}

@@ -1,9 +1,12 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are the distinct lower-cased words of a whole text and their beginnings of four to six letters, hashed. The terms
-most telling of either label are kept; a second-order factorization machine learns a weight for each and, from low-rank
-factors, a weight for every pair that stands together, such as an insult with the mention of a group, which additive
-weights miss. Then a logistic curve calibrates its output on rows that it wasn't fitted on.
+Terms are the distinct lower-cased words of a whole text and their beginnings of four to six letters, hashed. The machine
+gets those that occur in SUPPORT texts of the sample at least and tell the labels apart: by themselves (the TERMS most
+telling ones of at least LEAST_Z standard errors), or by a pair of them that does so although neither term does (of the
+PAIR_POOL terms in most texts, up to PAIR_TERMS, of at least PAIR_Z standard errors). A second-order factorization machine
+learns a weight for each and, from low-rank factors, a weight for every pair that stands together, such as an insult with
+the mention of a group, which additive weights miss. Then a logistic curve calibrates its output on rows that it wasn't
+fitted on. What reaches the driver is bounded by `rows_per_label` and `longest`.
 
 Defined results. Null, empty and wordless texts get the score of a text without known terms. Repeated rows score alike;
 ties don't matter. Very long texts are scored in whole. Without rows of both labels, all scores are the share of
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm.common import table, words_of
 from foliospark.llm.quality import logistic, scorer
-from foliospark.llm.sampling import fold, labelled_sample
+from foliospark.llm.sampling import LONGEST, ROWS_PER_LABEL, fold, labelled_sample
 
 FOLDS, HELD = 3, 1
 THRESHOLD = 0.7
@@ -28,6 +31,11 @@ TERMS = 3000
 SUPPORT = 3
 #: Its share must differ between the labels by this many standard errors, or it is noise.
 LEAST_Z = 4.0
+#: Terms in most texts whose pairs are looked at, how many telling pairs may add, and from how many standard errors on:
+#: more than for single terms, as there are some two million pairs.
+PAIR_POOL = 2000
+PAIR_TERMS = 500
+PAIR_Z = 7.0
 RANK = 6
 STEPS = 300
 RATE = 0.05
@@ -99,18 +107,45 @@ def text_terms(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def _z(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """By how many standard errors the shares a / n1 and b / n0 differ."""
+    p = (a + b) / (n1 + n0)
+    return np.abs(a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+
+
 def telling_terms(sets: list[np.ndarray], labels: np.ndarray, most: int) -> list[int]:
-    """The terms whose shares in the two labels differ most, by a two-proportion z value."""
+    """The terms whose shares in the two labels differ most, and those of telling pairs of other terms."""
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
     counts = np.zeros((2, 1 << BITS), dtype=np.int32)
     for s, y in zip(sets, labels, strict=True):
         counts[int(y), s] += 1
     terms = np.flatnonzero(counts.sum(axis=0) >= SUPPORT)
-    a, b = counts[1, terms].astype(float), counts[0, terms].astype(float)
-    p = (a + b) / (n1 + n0)
-    z = np.abs(a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+    z = _z(counts[1, terms].astype(float), counts[0, terms].astype(float), n1, n0)
     order = np.lexsort((terms, -z))
-    return [int(terms[i]) for i in order[:most] if z[i] >= LEAST_Z]
+    single = [int(terms[i]) for i in order[:most] if z[i] >= LEAST_Z]
+    pool = terms[z < LEAST_Z]
+    pool = np.sort(pool[np.lexsort((pool, -counts[:, pool].sum(axis=0)))][:PAIR_POOL])
+    return single + telling_pairs(sets, labels, pool)
+
+
+def telling_pairs(sets: list[np.ndarray], labels: np.ndarray, pool: np.ndarray) -> list[int]:
+    """Terms of the pool whose pairs stand together in other shares of the two labels, most telling pairs first."""
+    n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
+    x = np.zeros((len(sets), len(pool)), dtype=np.float32)
+    for i, s in enumerate(sets):
+        at = np.searchsorted(pool, s)
+        hit = at < len(pool)
+        hit[hit] = pool[at[hit]] == s[hit]
+        x[i, at[hit]] = 1.0
+    a, b = (x[labels == y].T @ x[labels == y] for y in (1, 0))
+    left, right = np.nonzero(np.triu(a + b >= SUPPORT, 1))
+    z = _z(a[left, right].astype(float), b[left, right].astype(float), n1, n0)
+    found: dict[int, None] = {}
+    for k in np.lexsort((right, left, -z)).tolist():
+        if z[k] < PAIR_Z or len(found) >= PAIR_TERMS:
+            break
+        found |= {int(pool[left[k]]): None, int(pool[right[k]]): None}
+    return list(found)
 
 
 def _machine(rows: list[list[int]], labels: np.ndarray, weight: np.ndarray, n_terms: int) -> tuple[float, np.ndarray, np.ndarray]:
@@ -149,15 +184,15 @@ def fit(texts: list[bytes], labels: list[int], counts: dict[int, int]) -> Model:
     place = {t: i for i, t in enumerate(terms)}
     bias, w, v = _machine([[place[t] for t in sets[i].tolist() if t in place] for i in fitted], y[own], weight[own], len(terms))
     model = Model(terms, bias, w, v, 1.0, 0.0)
-    raw = np.array([model.raw(texts[i]) for i in np.flatnonzero(~own)])
+    raw = np.array([[model.raw(texts[i])] for i in np.flatnonzero(~own)])
     held = y[~own]
     even = np.where(held == 1, 0.5 / max(1.0, held.sum()), 0.5 / max(1.0, len(held) - held.sum())) * len(held)
-    model.slope, model.shift = logistic(raw, held, even, ridge=0.01)
+    (model.slope,), model.shift = logistic(raw, held, even, ridge=0.01)
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", rows_per_label: int = 4000) -> Model:
-    return fit(*labelled_sample(docs, labels, "toxic", fold(F.col("id"), FOLDS) != HELD, key, text, rows_per_label))
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", rows_per_label: int = ROWS_PER_LABEL, longest: int = LONGEST) -> Model:
+    return fit(*labelled_sample(docs, labels, "toxic", fold(F.col("id"), FOLDS) != HELD, key, text, rows_per_label, longest))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

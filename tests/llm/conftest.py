@@ -11,8 +11,9 @@ def awkward(spark):
     rows = [(i, t, None if i % 3 == 0 else "src1", f"s{i}") for i, t in enumerate(AWKWARD)]
     rows += [(4, AWKWARD[4], "src1", "s4"), (None, "no id at all", "src2", "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, shard string")
-    for c in ("score", "leak", "component", "print", "id", "key", "copy.x", "Secrets", "row", "words"):
+    for c in ("score", "leak", "component", "print", "id", "key", "copy.x", "Secrets", "row", "words", "copy", "Order_Key", "a.b", "__kept_id", "__kept_tie", "slot", "tie"):
         df = df.withColumn(c, F.lit("kept"))
+    df = df.withColumn("tags", F.create_map(F.lit("k"), F.lit("kept")))
     return df.withColumn("n_chars", F.length("text").cast("long"))
 
 
