@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from foliospark.functions.text import normal_form, squeeze
 
 HASH_LENGTH = 12
-#: Entity ids of earlier runs depend on this name space.
-ENTITY_SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "adresses_revolutionnaires/entites")
+#: The name space of entity ids, unless a caller whose ids must match earlier ones gives theirs.
+ENTITY_SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "foliospark/entities")
 ROOT = "00000000-0000-0000-0000-000000000000"
 
 

@@ -26,6 +26,12 @@ def normal_form(c: Column, form: str = "NFC") -> Column:
     return F.coalesce(_normal_form(form)(other), c)
 
 
+def casefold(c: Column) -> Column:
+    """Caseless form, in which a long s is an s, and a sharp one two. Only texts with characters beyond ASCII go to Python."""
+    fold = F.arrow_udf(lambda column: pa.array([None if t is None else t.casefold() for t in column.to_pylist()], type=pa.string()), "string")
+    return F.coalesce(fold(F.when(c.rlike(r"[^\x00-\x7F]"), c)), F.lower(c))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 

@@ -1,8 +1,8 @@
 """Two editions aligned entry by entry: similarities, ordered pairs, residual pairs, and a pair model between anchors.
 
-Entries meet only inside corresponding sections (segments). A segment is one grouped-map task that gives its pairs and
-its windows as rows; the pair model is then fitted over all windows of all segments, with nine sums per round on the
-driver.
+Entries meet only inside corresponding sections (segments). Similarities are computed in tiles, so a large segment is
+many tasks; those that may reach a threshold then meet in one task per segment, which gives its pairs and its windows as
+rows. The pair model is fitted over all windows of all segments, with nine sums per round on the driver.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.functions.similarity import matrix
+from foliospark.functions.similarity import Records, matrix, pair
 from foliospark.operators import sequence as S
 
 #: Where a link comes from.
@@ -37,14 +37,59 @@ class Params:
 _OUT = "segment string, kind string, left_uuid string, right_uuid string, score double, bin int, n long, window int, rows array<string>, cols array<string>, sims array<float>"
 
 
-def _segment(params: Params):
+#: Left and right records of a tile: the similarities of a section are computed tile by tile, in tasks of their own.
+TILE = (256, 4096)
+_RECORDS = ["segment", "side", "at", "uuid", "subj", "text"]
+
+
+def numbered(df: DataFrame, side: int) -> DataFrame:
+    """Records (segment, order, uuid, subj, text) with their place in the segment, from 0."""
+    own = df.select(F.col("segment").cast("string").alias("segment"), F.lit(side).alias("side"), "order", F.col("uuid").cast("string").alias("uuid"), F.coalesce("subj", F.lit("")).alias("subj"), F.coalesce("text", F.lit("")).alias("text"))
+    at = F.row_number().over(Window.partitionBy("segment").orderBy("order", "uuid")) - 1
+    return own.withColumn("at", at).select(*_RECORDS)
+
+
+def _tile(weight: float, least: float):
     def work(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left, right = left.sort_values("order"), right.sort_values("order")
+        out = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.float32)]
+        if len(left) and len(right):
+            records = Records(list(zip(left["subj"], left["text"], strict=True)), list(zip(right["subj"], right["text"], strict=True)), weight)
+            rows, columns = left["at"].to_numpy(np.int32), right["at"].to_numpy(np.int32)
+            for k in range(len(left)):
+                met, values = records.row(k, least)
+                out[0].append(np.full(len(met), rows[k]))
+                out[1].append(columns[met])
+                out[2].append(values.astype(np.float32))
+        i, j, sim = (np.concatenate(x) for x in out)
+        return pd.DataFrame({"segment": pd.Series([key[0]] * len(i), dtype=object), "i": i, "j": j, "sim": sim})
+
+    return work
+
+
+def cells(left: DataFrame, right: DataFrame, weight: float, least: float, tile: tuple[int, int] = TILE) -> DataFrame:
+    """segment, i, j, sim: the pairs of records (segment, at, subj, text) of a segment that may reach `least`.
+
+    A tile is a block of left and a block of right records; each record goes to the tiles of its row or column.
+    """
+    rows, columns = tile
+    blocks = [df.groupBy("segment").agg((F.floor(F.max("at") / n) + 1).cast("int").alias("blocks")) for df, n in ((left, rows), (right, columns))]
+    dealt = []
+    for df, other, names, n in ((left, blocks[1], ("r", "c"), rows), (right, blocks[0], ("c", "r"), columns)):
+        met = df.join(other, "segment").withColumn(names[0], F.floor(F.col("at") / n).cast("int"))
+        dealt.append(met.withColumn(names[1], F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks").groupBy("segment", "r", "c"))
+    return dealt[0].cogroup(dealt[1]).applyInPandas(_tile(weight, least), "segment string, i int, j int, sim float")
+
+
+def _segment(params: Params):
+    def work(key, records: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        left, right = (records[records["side"] == side].sort_values("at") for side in (0, 1))
         a, b = left["uuid"].tolist(), right["uuid"].tolist()
         fields_a, fields_b = list(zip(left["subj"], left["text"], strict=True)), list(zip(right["subj"], right["text"], strict=True))
         # pairs that can't reach any threshold stay 0: no pair is made of them; where lower values count, they are computed
-        sims = matrix(fields_a, fields_b, params.weight, min(params.threshold, params.residual, params.anchor))
+        sims = np.zeros((len(a), len(b)), dtype=np.float32)
+        sims[found["i"].to_numpy(), found["j"].to_numpy()] = found["sim"].to_numpy()
         exact = lambda rows, cols: matrix([fields_a[i] for i in rows], [fields_b[j] for j in cols], params.weight)
+        one = lambda i, j: pair(fields_a[i], fields_b[j], params.weight)
         ordered = S.align(sims, params.threshold)
         rest = S.residual(sims, ordered, np.float32(params.residual))
         out = [dict(kind=RESIDUAL, left_uuid=a[i], right_uuid=b[j], score=float(sims[i, j])) for i, j in rest]
@@ -53,14 +98,14 @@ def _segment(params: Params):
             return _frame(key[0], out)
         anchors = [(i, j) for i, j in ordered if sims[i, j] >= np.float32(params.anchor)]
         out += [dict(kind=ORDERED, left_uuid=a[i], right_uuid=b[j], score=float(sims[i, j])) for i, j in anchors]
-        near = [exact([x], [y])[0, 0] for i, j in anchors for d in NEIGHBOURS for x, y in ((i, j - d), (i, j + d), (i - d, j), (i + d, j)) if 0 <= x < len(a) and 0 <= y < len(b)]
+        near = [one(x, y) for i, j in anchors for d in NEIGHBOURS for x, y in ((i, j - d), (i, j + d), (i - d, j), (i + d, j)) if 0 <= x < len(a) and 0 <= y < len(b)]
         once = []
         low_l, low_r = left["subj"].str.lower(), right["subj"].str.lower()
         n_l, n_r = low_l.value_counts(), low_r.value_counts()
         at = {s: j for j, s in enumerate(low_r)}
         for i, s in enumerate(low_l):
             if s and n_l[s] == 1 and n_r.get(s, 0) == 1:
-                once.append(exact([i], [at[s]])[0, 0])
+                once.append(one(i, at[s]))
         for kind, values in (("different", near), ("same", once)):
             counts = S.histogram(np.array(values, dtype=np.float32))
             out += [dict(kind=kind, bin=k, n=int(n)) for k, n in enumerate(counts) if n]
@@ -131,8 +176,10 @@ def _decode(fitted: Fit):
 
 def align(left: DataFrame, right: DataFrame, params: Params = Params()) -> tuple[DataFrame, Fit | None]:
     """links(segment, left_uuid, right_uuid, score, source) of records(segment, order, uuid, subj, text), and the fitted model."""
-    pick = lambda df: df.select(F.col("segment").cast("string").alias("segment"), "order", F.col("uuid").cast("string").alias("uuid"), F.coalesce("subj", F.lit("")).alias("subj"), F.coalesce("text", F.lit("")).alias("text"))
-    found = pick(left).groupBy("segment").cogroup(pick(right).groupBy("segment")).applyInPandas(_segment(params), _OUT).persist()
+    own = [numbered(left, 0), numbered(right, 1)]
+    least = min(params.threshold, params.residual, params.anchor)
+    near = cells(*own, params.weight, least)
+    found = own[0].unionByName(own[1]).groupBy("segment").cogroup(near.groupBy("segment")).applyInPandas(_segment(params), _OUT).persist()
     links = found.where(F.col("kind").isin(ORDERED, RESIDUAL)).select("segment", "left_uuid", "right_uuid", "score", F.col("kind").alias("source"))
     if not params.context:
         return links, None

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from foliospark.functions.keys import ROOT
 from foliospark.functions.similarity import jaro_winkler
 from foliospark.functions.text import title_level
+from foliospark.operators.graph import components
 from foliospark.operators.sequence import align
 
 THRESHOLD = 0.8
 
 
-def ancestors(entities: DataFrame, depth: int = 64) -> DataFrame:
+def ancestors(entities: DataFrame, depth: int = 100) -> DataFrame:
     """document, uuid, section_uuid, section_markdown: of each entity its nearest title of level 2 above it, else of level 1; null without.
 
     The titles of a document (few, and each is read by its document only) travel as one map; cycles end the walk.
@@ -54,23 +55,27 @@ def sections(records: DataFrame) -> DataFrame:
 
 
 def manual_groups(pairs: DataFrame) -> DataFrame:
-    """side, uuid, group: connected components of hand-made pairs (left_uuid, right_uuid), named by their smallest left uuid.
+    """side, uuid, group: connected components of hand-made pairs (left_uuid, right_uuid), named by their smallest left uuid."""
+    edges = pairs.where((F.col("left_uuid") != "") & (F.col("right_uuid") != "")).select(F.concat(F.lit("l"), "left_uuid").alias("a"), F.concat(F.lit("r"), "right_uuid").alias("b"))
+    # l stands before r: the smallest name of a component is that of a left section
+    found = components(edges)
+    return found.select(F.when(F.col("node").startswith("l"), "left").otherwise("right").alias("side"), F.expr("substring(node, 2)").alias("uuid"), F.expr("substring(root, 2)").alias("group"))
 
-    A hand-edited patch: smallest labels are spread until they settle.
+
+def align_pair(left: DataFrame, right: DataFrame, patch: DataFrame | None = None, threshold: float = THRESHOLD, pair: str = "pair") -> DataFrame:
+    """pair, left_run, right_run, source of sections (pair, run, section, section_uuid): hand-made groups first, the rest in order by their keys.
+
+    patch: left_uuid, right_uuid of sections. A section that it names, alone too, is never paired by its key; every left
+    section of a group meets every right one.
     """
-    edges = pairs.where((F.col("left_uuid") != "") & (F.col("right_uuid") != "")).select("left_uuid", "right_uuid").distinct()
-    labels = edges.select("left_uuid", "right_uuid", F.col("left_uuid").alias("group"))
-    while True:
-        by_right = labels.groupBy("right_uuid").agg(F.min("group").alias("g"))
-        spread = labels.join(by_right, "right_uuid").select("left_uuid", "right_uuid", F.col("g").alias("group"))
-        by_left = spread.groupBy("left_uuid").agg(F.min("group").alias("g"))
-        now = spread.join(by_left, "left_uuid").select("left_uuid", "right_uuid", F.col("g").alias("group")).cache()
-        changed = now.join(labels.withColumnRenamed("group", "old"), ["left_uuid", "right_uuid"]).where(F.col("group") != F.col("old"))
-        if changed.isEmpty():
-            break
-        labels = now
-    left = now.select(F.lit("left").alias("side"), F.col("left_uuid").alias("uuid"), "group")
-    return left.union(now.select(F.lit("right"), "right_uuid", "group")).distinct()
+    if patch is None:
+        return align_sections(left, right, threshold, pair).withColumn("source", F.lit("auto"))
+    free = [df.join(patch.select(F.col(f"{side}_uuid").alias("section_uuid")).where(F.col("section_uuid") != "").distinct(), "section_uuid", "left_anti") for df, side in ((left, "left"), (right, "right"))]
+    auto = align_sections(*free, threshold, pair).withColumn("source", F.lit("auto"))
+    groups = manual_groups(patch)
+    named = [df.select(pair, F.col("run").alias(f"{side}_run"), F.col("section_uuid").alias("uuid")).join(groups.where(F.col("side") == side), "uuid").select(pair, "group", f"{side}_run") for df, side in ((left, "left"), (right, "right"))]
+    manual = named[0].join(named[1], [pair, "group"]).select(pair, "left_run", "right_run", F.lit("manual").alias("source"))
+    return auto.unionByName(manual.select(*[F.col(c).cast(auto.schema[c].dataType) for c in auto.columns]))
 
 
 def align_sections(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, pair: str = "pair") -> DataFrame:

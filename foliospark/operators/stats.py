@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
+import math
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,26 +151,60 @@ def verdict(delta: Column, noise: Column) -> Column:
     return F.when(delta > noise, "improves").when(delta < -noise, "degrades").otherwise("neutral")
 
 
+def _poisson_steps(terms: int = 15) -> list[float]:
+    """The probabilities that a Poisson number of mean 1 is at most 0, 1, ...."""
+    p, total, out = math.exp(-1.0), 0.0, []
+    for k in range(terms):
+        p = p / k if k else p
+        total += p
+        out.append(total)
+    return out[:-1]
+
+
+POISSON = _poisson_steps()
+
+
+def draws(seed: int, sample: Column, cluster: Column) -> Column:
+    """How often a sample draws a cluster: a Poisson number of mean 1 hashed from all three."""
+    text = F.concat_ws(":", F.lit(str(seed)), sample.cast("string"), F.coalesce(cluster.cast("string"), F.lit("")))
+    u = (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
+    return F.size(F.filter(F.array(*[F.lit(s) for s in POISSON]), lambda s: s <= u))
+
+
+def _stack(df: DataFrame, metrics: Iterable[str]) -> DataFrame:
+    return df.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics])).alias("r")).select("r.*")
+
+
 def bootstrap(df: DataFrame, cluster: str, sums: dict[str, Column], metrics: dict[str, Column], samples: int = 1000, seed: int = 0, level: float = 0.95) -> DataFrame:
     """metric, value, low, high: metrics of resampled sums; clusters are resampled, rows never.
 
-    Clusters are summed first, so one row per cluster meets each sample. How often a sample draws a cluster is a Poisson
-    number of mean 1 hashed from seed, sample and cluster, which needs no driver-made table of weights and tends to the
-    multinomial as clusters grow in number.
+    Clusters are summed first, so one row per cluster meets each sample. How often a sample draws a cluster is hashed,
+    which needs no driver-made table of weights and tends to the multinomial as clusters grow in number.
     """
     per = df.groupBy(cluster).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     point = per.agg(*[F.sum(n).alias(n) for n in sums]).select(*[c.alias(m) for m, c in metrics.items()])
-    u = (F.pmod(F.xxhash64(F.lit(seed), "sample", F.col(cluster).cast("string")), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    p, total, steps = np.exp(-1.0), np.exp(-1.0), []
-    for k in range(1, 15):
-        steps.append(float(total))
-        p /= k
-        total += p
-    draws = sum((u >= s).cast("int") for s in steps)
-    drawn = per.withColumn("sample", F.explode(F.sequence(F.lit(1), F.lit(samples)))).withColumn("draws", draws)
-    resampled = drawn.groupBy("sample").agg(*[F.sum(F.col(n) * F.col("draws")).alias(n) for n in sums]).select(*[c.alias(m) for m, c in metrics.items()])
+    drawn = per.withColumn("__sample", F.explode(F.sequence(F.lit(1), F.lit(samples)))).withColumn("__draws", draws(seed, F.col("__sample"), F.col(cluster)))
+    resampled = drawn.groupBy("__sample").agg(*[F.sum(F.col(n) * F.col("__draws")).alias(n) for n in sums]).select(*[c.alias(m) for m, c in metrics.items()])
     a = (1 - level) / 2
-    stack = lambda d, *x: d.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics])).alias("r")).select("r.*")
-    spread = stack(resampled).groupBy("metric").agg(F.percentile("v", F.lit(a)).alias("low"), F.percentile("v", F.lit(1 - a)).alias("high"))
-    return stack(point).join(spread, "metric").select("metric", F.col("v").alias("value"), "low", "high")
+    spread = _stack(resampled, metrics).groupBy("metric").agg(F.percentile("v", F.lit(a)).alias("low"), F.percentile("v", F.lit(1 - a)).alias("high"))
+    return _stack(point, metrics).join(spread, "metric").select("metric", F.col("v").alias("value"), "low", "high")
+
 
+def paired_deltas(one: DataFrame, other: DataFrame, cluster: str, sums: dict[str, Column], metrics: dict[str, Column], samples: int = 1000, seed: int = 0, level: float = 0.95) -> DataFrame:
+    """metric, delta, low, high: metrics of other less those of one, both resampled by the same draws of their clusters."""
+    sides = [df.groupBy(cluster).agg(*[F.sum(c).alias(f"{side}_{n}") for n, c in sums.items()]) for side, df in (("one", one), ("other", other))]
+    names = [f"{side}_{n}" for side in ("one", "other") for n in sums]
+    per = sides[0].join(sides[1], cluster, "full").na.fill(0.0, names)
+    total = lambda df: df.agg(*[F.sum(n).alias(n) for n in names])
+
+    def deltas(df: DataFrame) -> DataFrame:
+        values = {side: df.select("*", F.struct(*[F.col(f"{side}_{n}").alias(n) for n in sums]).alias("x")).select("*", "x.*").select(*[c for c in df.columns if c not in sums], *[c.alias(f"{side}__{m}") for m, c in metrics.items()]) for side in ("one", "other")}
+        met = values["one"].join(values["other"].select("__sample", *[f"other__{m}" for m in metrics]), "__sample")
+        return met.select("__sample", *[(F.col(f"other__{m}") - F.col(f"one__{m}")).alias(m) for m in metrics])
+
+    drawn = per.withColumn("__sample", F.explode(F.sequence(F.lit(1), F.lit(samples)))).withColumn("__draws", draws(seed, F.col("__sample"), F.col(cluster)))
+    resampled = drawn.groupBy("__sample").agg(*[F.sum(F.col(n) * F.col("__draws")).alias(n) for n in names])
+    a = (1 - level) / 2
+    spread = _stack(deltas(resampled), metrics).groupBy("metric").agg(F.percentile("v", F.lit(a)).alias("low"), F.percentile("v", F.lit(1 - a)).alias("high"))
+    point = _stack(deltas(total(per).withColumn("__sample", F.lit(0))), metrics)
+    return point.join(spread, "metric").select("metric", F.col("v").alias("delta"), "low", "high")

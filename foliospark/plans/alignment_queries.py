@@ -178,7 +178,30 @@ def contextual_links(spark, sf_dir):
     return A.align(_records(spark, sf_dir, 0), _records(spark, sf_dir, 1))[0]
 
 
-QUERIES = {f.__name__: f for f in (similarity_pairs, candidates_mutual_best, rival_margin, review_levels, patch_validate, section_patch_validate, patch_apply, patch_stats, patch_reanchor, links_restrict, join_natural, link_summary, link_agreement, inversions, section_runs, section_continuation, section_groups, ancestor_section, section_alignment, ordered_links, contextual_links)}
+def two_years(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two editions of all parts: segment, order, uuid, section, subj, text.
+
+    The later one lacks every eleventh part, has others with a letter or a number changed, and parts of a third at another
+    place. Brands 11 to 14 are one large section.
+    """
+    k, brand = F.col("p_partkey"), F.col("p_brand")
+    own = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size").select(
+        F.when(brand < "Brand#15", "large").otherwise(brand).alias("segment"), k.alias("k"), F.col("p_type").alias("section"), F.initcap("p_name").alias("subj"),
+        F.concat_ws(", ", F.initcap("p_name"), F.lower("p_type"), F.concat(F.lit("rue "), F.element_at(F.split("p_name", " "), -1)), F.concat((k % 400 + 1).cast("string"), F.lit("."))).alias("text"))
+    first = own.select("segment", F.col("k").alias("order"), F.concat(F.lit("a"), F.col("k").cast("string")).alias("uuid"), "section", "subj", "text")
+    changed = F.when(F.col("k") % 3 == 0, F.regexp_replace("text", "e", "é")).when(F.col("k") % 5 == 0, F.regexp_replace("text", r"\d+\.$", "9.")).otherwise(F.col("text"))
+    moved = F.col("k") + F.when(F.col("k") % 37 == 0, 500).otherwise(0)
+    later = own.where(F.col("k") % 11 != 0).select("segment", moved.alias("order"), F.concat(F.lit("b"), F.col("k").cast("string")).alias("uuid"), "section", "subj", changed.alias("text"))
+    return first, later
+
+
+def editions_aligned(spark, sf_dir):
+    """All links of two editions, the largest section of some thousands by some thousands records at scale 0.1."""
+    links = A.align(*two_years(spark, sf_dir))[0]
+    return links.select("segment", "left_uuid", "right_uuid", F.round(F.col("score").cast("double"), 4).alias("score"), "source")
+
+
+QUERIES = {f.__name__: f for f in (similarity_pairs, candidates_mutual_best, rival_margin, review_levels, patch_validate, section_patch_validate, patch_apply, patch_stats, patch_reanchor, links_restrict, join_natural, link_summary, link_agreement, inversions, section_runs, section_continuation, section_groups, ancestor_section, section_alignment, ordered_links, contextual_links, editions_aligned)}
 
 _U = "SELECT line, 'left' AS side, left_uuid AS uuid, left_uuid <> '' AND right_uuid <> '' AS paired FROM patch WHERE left_uuid <> '' UNION ALL SELECT line, 'right', right_uuid, left_uuid <> '' AND right_uuid <> '' FROM patch WHERE right_uuid <> ''"
 

@@ -19,13 +19,13 @@ def _digit(c, at: int, n: int = 1):
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, gold, predicted, confidence, score, weight, page of each labelled document."""
     k = F.col("doc_id")
-    rows = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where(k.isNotNull())
+    rows = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     gold = F.col("quality") * 2 + F.col("toxic")
     shifted = F.when(_digit(k, 1) < 4, (gold + 1) % 4).otherwise(gold)
     return rows.select(k.alias("id"), gold.cast("string").alias("gold"), shifted.cast("string").alias("predicted"), (_digit(k, 2, 2) / 256).alias("confidence"), ((_digit(k, 4, 2) + 64 * (gold % 2)) / 512).alias("score"), (1.0 + _digit(k, 6) % 3).alias("weight"), (F.floor(k / 20)).alias("page"), (F.col("toxic") == 1).alias("positive")).withColumn("correct", F.col("gold") == F.col("predicted")).withColumn("error", F.col("gold") != F.col("predicted"))
 
 
-SCORED_SQL = """scored0 AS (SELECT doc_id AS id, quality * 2 + toxic AS g, md5(CAST(doc_id AS VARCHAR)) AS d, toxic FROM labels WHERE doc_id IS NOT NULL),
+SCORED_SQL = """scored0 AS (SELECT doc_id AS id, quality * 2 + toxic AS g, md5(CAST(doc_id AS VARCHAR)) AS d, toxic FROM labels),
 scored AS (
   SELECT id, CAST(g AS VARCHAR) AS gold, CAST(CASE WHEN CAST('0x' || substr(d, 1, 1) AS INTEGER) < 4 THEN (g + 1) % 4 ELSE g END AS VARCHAR) AS predicted, CAST('0x' || substr(d, 2, 2) AS INTEGER) / 256 AS confidence,
     (CAST('0x' || substr(d, 4, 2) AS INTEGER) + 64 * (g % 2)) / 512 AS score, 1.0::DOUBLE + CAST('0x' || substr(d, 6, 1) AS INTEGER) % 3 AS weight, CAST(floor(id / 20) AS BIGINT) AS page, toxic = 1 AS positive,
@@ -101,11 +101,11 @@ def breakdown(spark, sf_dir):
 
 def bootstrap_interval(spark, sf_dir):
     s = scored(spark, sf_dir)
-    return ST.bootstrap(s, "page", {"good": F.col("weight") * F.col("correct").cast("double"), "all": F.col("weight")}, {"exactness": ST.ratio(F.col("good"), F.col("all"), None)}, 200)
+    return rounded(ST.bootstrap(s, "page", {"good": F.col("weight") * F.col("correct").cast("double"), "all": F.col("weight")}, {"exactness": ST.ratio(F.col("good"), F.col("all"), None)}, 200))
 
 
 def stratified_sample(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents", "doc_id", "source").where(F.col("source").isNotNull())
+    docs = read(spark, sf_dir, "documents", "doc_id", "source").withColumn("source", F.coalesce("source", F.lit("")))
     counts = {r["source"]: r["count"] for r in docs.groupBy("source").count().collect()}
     quotas = SA.root_quotas(counts, max(1, sum(counts.values()) // 4))
     frame = docs.sparkSession.createDataFrame(sorted(quotas.items()), "source string, quota int")
@@ -118,7 +118,7 @@ def page_split(spark, sf_dir):
 
 
 def page_folds(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents", "doc_id", "source").where(F.col("source").isNotNull())
+    docs = read(spark, sf_dir, "documents", "doc_id", "source")
     return SA.page_folds(docs.select(F.col("source").alias("document"), F.col("doc_id").alias("page")))
 
 
@@ -217,7 +217,32 @@ ADDRESS_SQL = "WITH " + _ADDR.format(a=_street_sql("name_a"), b=_street_sql("nam
 #: Two of the stand-in's names are alike only where they are the same.
 _CHANGE = "CASE WHEN kind_a = 'absente' THEN 'adresse absente' WHEN kind_a = 'complexe' THEN 'adresse complexe' WHEN kind_a = 'sans numéro' THEN 'sans numéro' WHEN street_a <> street_b THEN 'déménagement' WHEN numbers_a = numbers_b THEN 'équivalence' ELSE 'changement de numéro' END"
 
+_STEPS = "[" + ", ".join(f"{x!r}::DOUBLE" for x in ST.POISSON) + "]"
+
+
+def shapes_sql(source: str, keep: str) -> str:
+    """CTEs that end in `shaped`: keep, text, shape and profile of the texts of a table."""
+    letters = r"[\p{L}\p{M}]"
+    token = rf"\d+|{letters}+(?:[-''’.]+{letters}+)*\.?|[—–]+|\S"
+    return f"""tok0 AS (SELECT {keep}, text, list_transform(regexp_extract_all(text, '{token}'), lambda t: CASE WHEN regexp_matches(t, '^\\d+$') THEN '9' WHEN t IN (',', ';', ':', '(', ')', '[', ']', '{{', '}}') THEN t WHEN regexp_matches(t, '^[—–]') THEN '—' WHEN lower(t) IN ('et', '&') THEN 'et' WHEN lower(t) LIKE 'voy%' THEN 'V' WHEN regexp_matches(t, '^\\p{{L}}') THEN 'w' END) AS raw FROM {source}),
+tok AS (SELECT {keep}, text, list_filter(raw, lambda t: t IS NOT NULL) AS s FROM tok0),
+shaped AS (SELECT {keep}, text, array_to_string(list_filter(s, lambda t, i: NOT (t = 'w' AND i > 1 AND s[i - 1] = 'w')), ' ') AS shape,
+  concat_ws('·', CASE WHEN list_contains(s, '(') THEN 'paren' END, CASE WHEN list_contains(s, '—') THEN 'tiret' END, CASE WHEN list_contains(s, 'et') THEN 'et' END, CASE WHEN list_contains(s, 'V') THEN 'renvoi' END, CASE WHEN NOT list_contains(s, '9') THEN 'sans-num' END,
+    least(len(list_filter(s, lambda t: t IN (',', ';'))), 4) || CASE WHEN len(list_filter(s, lambda t: t IN (',', ';'))) >= 4 THEN '+' ELSE '' END || 'virg') AS profile FROM tok)"""
+
+
 SQL = {
+    "shape_counts": f"WITH {CLASSED_SQL}, {shapes_sql('classed', 'key')} SELECT shape, profile, count(*) AS n FROM shaped GROUP BY ALL",
+    "stratified_sample": """WITH c AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY ALL),
+w AS (SELECT *, greatest(1, (SELECT sum(n) FROM c) // 4) AS size, sum(n) OVER o - n AS below, sum(sqrt(n)) OVER () - sum(sqrt(n)) OVER o + sqrt(n) AS roots FROM c WINDOW o AS (ORDER BY n, source)),
+r AS (SELECT *, (size - below) / roots AS rate FROM w),
+b AS (SELECT coalesce(min_by(rate, (n, source)) FILTER (sqrt(n) > rate), max_by(rate, (n, source))) AS rate FROM r)
+SELECT source, least(n, greatest(1, CAST(round_even(b.rate * sqrt(n), 0) AS BIGINT))) AS rows, round(CAST(n AS DOUBLE), 6) AS weight FROM c, b""",
+    "bootstrap_interval": f"""WITH {SCORED_SQL},
+per AS (SELECT page, sum(weight * CAST(correct AS INTEGER)) AS good, sum(weight) AS every FROM scored GROUP BY page),
+drawn AS (SELECT sample, good, every, (CAST('0x' || substr(md5('0:' || sample || ':' || page), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM per, (SELECT unnest(range(1, 201)) AS sample)),
+sums AS (SELECT sample, sum(good * n) / sum(every * n) AS v FROM (SELECT *, len(list_filter({_STEPS}, lambda s: u >= s)) AS n FROM drawn) GROUP BY sample)
+SELECT 'exactness' AS metric, round((SELECT sum(good) / sum(every) FROM per), 9) AS value, round(quantile_cont(v, 0.025), 9) AS low, round(quantile_cont(v, 0.975), 9) AS high FROM sums""",
     "confusion": f"WITH {SCORED_SQL} SELECT page, gold, predicted, count(*) AS n FROM scored GROUP BY ALL",
     "class_f1": f"{_F1_SQL} SELECT class, tp, fp, fn, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1 FROM f",
     "overall_scores": f"{_F1_SQL} SELECT (SELECT round(avg(CAST(correct AS DOUBLE)), 9) FROM scored) AS accuracy, round(avg(f1), 9) AS macro_f1 FROM f WHERE class IN (SELECT gold FROM scored)",
@@ -245,7 +270,7 @@ s AS (SELECT threshold, sum(weight) AS a, sum(CASE WHEN score < threshold THEN w
 SELECT threshold, round(f / nullif(a, 0), 9) AS flagged, round(hit / nullif(bad, 0), 9) AS caught, round(hit / nullif(f, 0), 9) AS precision FROM s""",
     "breakdown": f"WITH {SCORED_SQL} SELECT page, count(*) AS n, round(sum(CAST(correct AS INTEGER) * weight) / sum(weight), 9) AS rate FROM scored GROUP BY page ORDER BY n DESC, page LIMIT 20",
     "page_split": "SELECT doc_id, CASE WHEN CAST('0x' || substr(sha1(concat_ws('#', source, CAST(doc_id AS VARCHAR))), 1, 2) AS INTEGER) / 256 < 0.3 THEN 'dev' ELSE 'test' END AS split FROM documents",
-    "page_folds": """WITH n AS (SELECT source AS document, doc_id AS page, count(*) OVER (PARTITION BY source) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS nth FROM documents WHERE source IS NOT NULL)
+    "page_folds": """WITH n AS (SELECT source AS document, doc_id AS page, count(*) OVER (PARTITION BY source) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS nth FROM documents)
 SELECT document, page, len(list_filter(range(0, least(5, n)), lambda i: round_even(i * n / least(5, n), 0) < nth))::INTEGER AS fold FROM n""",
     "text_exclusion": """WITH d AS (SELECT doc_id AS id, text, n_chars % 5 <> 0 AS usable FROM documents),
 g AS (SELECT *, text IN (SELECT text FROM d WHERE id % 11 = 0) AS gold FROM d),

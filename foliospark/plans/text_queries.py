@@ -14,23 +14,23 @@ from foliospark.operators import layers as LA
 from foliospark.operators import lines as LI
 from foliospark.operators import linking as LK
 from foliospark.operators import tagging as TA
-from foliospark.plans.alignment_queries import edition
+from foliospark.plans.alignment_queries import two_years
 from foliospark.plans.line_queries import CLASSED_SQL, ENTITIES_SQL, LINES_SQL, classed_lines, entities_of, keyed_lines, read
 from foliospark.streaming import sessions
 
 
 def spanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, text, spans: each line cut in thirds, some of them spans with scores by the line's key."""
-    lines = keyed_lines(spark, sf_dir).where(F.length("text") > 5)
+    lines = keyed_lines(spark, sf_dir)
     third = F.floor(F.length("text") / 3).cast("int")
     digit = lambda i: F.conv(F.substring("key", i, 1), 16, 10).cast("int")
     span = lambda k, label, on: F.when(on, F.struct((third * k).cast("int").alias("start"), F.when(F.lit(k) == 2, F.length("text")).otherwise(third * (k + 1)).cast("int").alias("end"), F.lit(label).alias("label"), (digit(4 + k) / 15).alias("score")))
-    spans = F.filter(F.array(span(0, "SUBJ", digit(1) > 2), span(1, "DESC", digit(2) > 7), span(2, "ADDR", digit(3) > 3)), lambda s: s.isNotNull())
+    spans = F.filter(F.array(span(0, "SUBJ", digit(1) > 2), span(1, "DESC", digit(2) > 7), span(2, "ADDR", digit(3) > 3)), lambda s: s["end"] > s["start"])
     return lines.select(F.concat_ws("/", "document", "pos").alias("id"), "key", "text", spans.alias("spans"))
 
 
 _S = "CASE WHEN CAST('0x' || substr(key, {d}, 1) AS INTEGER) > {n} THEN {{'start': length(text) // 3 * {k}, 'end': {end}, 'label': '{label}', 'score': CAST('0x' || substr(key, {s}, 1) AS INTEGER) / 15}} END"
-SPANNED_SQL = LINES_SQL + ",\nspanned AS (SELECT document || '/' || pos AS id, key, text, list_filter([" + ", ".join(_S.format(d=k + 1, n=n, k=k, end="length(text)" if k == 2 else f"length(text) // 3 * {k + 1}", label=label, s=4 + k) for k, (label, n) in enumerate((("SUBJ", 2), ("DESC", 7), ("ADDR", 3)))) + "], lambda s: s IS NOT NULL) AS spans FROM keyed WHERE length(text) > 5)"
+SPANNED_SQL = LINES_SQL + ",\nspanned AS (SELECT document || '/' || pos AS id, key, text, list_filter([" + ", ".join(_S.format(d=k + 1, n=n, k=k, end="length(text)" if k == 2 else f"length(text) // 3 * {k + 1}", label=label, s=4 + k) for k, (label, n) in enumerate((("SUBJ", 2), ("DESC", 7), ("ADDR", 3)))) + "], lambda s: s IS NOT NULL AND s.\"end\" > s.start) AS spans FROM keyed)"
 
 
 def suspicion(spark, sf_dir):
@@ -39,16 +39,16 @@ def suspicion(spark, sf_dir):
 
 
 def tagged_round_trip(spark, sf_dir):
-    """Lines whose spans are rendered as tags and read back: what differs (nothing should)."""
-    rows = spanned(spark, sf_dir)
-    back = rows.withColumn("p", SP.parsed(SP.rendered(F.col("text"), F.col("spans"))))
-    bare = lambda c: F.transform(c, lambda s: F.struct(s["start"], s["end"], s["label"]))
-    return back.select("id", (F.col("p.text") == F.col("text")).alias("same_text"), (bare(F.col("p.spans")) == bare(F.col("spans"))).alias("same_spans"))
+    """Lines whose spans are rendered as tags, and what is read back from these."""
+    rows = spanned(spark, sf_dir).withColumn("tagged", SP.rendered(F.col("text"), F.col("spans")))
+    back = rows.withColumn("p", SP.parsed(F.col("tagged"))).withColumn("texts", SP.label_texts(F.col("tagged")))
+    told = F.array_join(F.transform("p.spans", lambda s: F.concat_ws(":", s["label"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return back.select("id", "tagged", F.col("p.text").alias("text"), told.alias("spans"), F.array_join(F.col("texts")["ADDR"], "|").alias("addresses"))
 
 
 def span_pieces(spark, sf_dir):
     """Where the middle half of each line falls in its halves."""
-    rows = keyed_lines(spark, sf_dir).where(F.length("text") > 3)
+    rows = keyed_lines(spark, sf_dir)
     n = F.length("text")
     pieces = F.array(F.struct(F.lit("a").alias("line"), F.lit(0).alias("start"), F.floor(n / 2).cast("int").alias("end"), F.lit(2).alias("lead")), F.struct(F.lit("b").alias("line"), (F.floor(n / 2) + 1).cast("int").alias("start"), (n + 1).alias("end"), F.lit(0).alias("lead")))
     cut = SP.span_pieces(F.floor(n / 4).cast("int"), (n - F.floor(n / 8)).cast("int"), pieces)
@@ -148,16 +148,15 @@ def labeller(spark, sf_dir):
 
 
 def learned_links(spark, sf_dir):
-    """Links learned from the pairs whose keys are neighbours."""
-    side = lambda odd: edition(spark, sf_dir, odd).select("segment", "uuid", "section", F.col("name").alias("subj"), "text")
-    pairs = LK.compared(side(0), side(1)).persist()
-    gold = pairs.withColumn("match", (F.col("right_uuid").cast("long") - F.col("left_uuid").cast("long") == 1).cast("double"))
-    model = LK.learn(gold)
-    return LK.link(pairs, model, 0.01)
+    """Links of two editions learned from those whose number is even: a true one has the same number."""
+    pairs = LK.compared(*two_years(spark, sf_dir)).persist()
+    same = F.expr("substring(left_uuid, 2)") == F.expr("substring(right_uuid, 2)")
+    model = LK.learn(pairs.where(F.expr("substring(left_uuid, 2)").cast("long") % 2 == 0).withColumn("match", same.cast("double")))
+    return LK.link(pairs, model).select("segment", "left_uuid", "right_uuid", F.round("score", 4).alias("score"))
 
 
 def event_sessions(spark, sf_dir):
-    return sessions.activity(read(spark, sf_dir, "events", "ts", "user_id").where(F.col("user_id").isNotNull()))
+    return sessions.activity(read(spark, sf_dir, "events", "ts", "user_id"))
 
 
 def event_latest(spark, sf_dir):
@@ -166,15 +165,22 @@ def event_latest(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (suspicion, tagged_round_trip, span_pieces, title_keys, heading_guess, line_features, all_features, containing_chunk, html_blocks, entity_pieces, structure_layer, document_layer, tagging_metrics, nested_spans, labeller, learned_links, event_sessions, event_latest)}
 
+_ESCAPED = "replace(replace({}, '<', '&lt;'), '>', '&gt;')"
+
 SQL = {
     "suspicion": f"""WITH {SPANNED_SQL},
 s AS (SELECT id, text, spans, array_to_string(list_transform(spans, lambda s: s.label), ',') AS signature, CASE WHEN len(spans) = 0 THEN 0 ELSE list_min(list_transform(spans, lambda s: s.score)) END AS confidence,
   array_to_string(list_transform(list_filter(range(1, length(text) + 1), lambda i: len(list_filter(spans, lambda s: s.start < i AND i <= s."end")) = 0), lambda i: text[i]), '') AS rest FROM spanned)
 SELECT id, signature, round(confidence, 9) AS confidence, CASE WHEN len(spans) = 0 THEN 'aucun empan' ELSE concat_ws(' | ', CASE WHEN confidence < 0.9::DOUBLE THEN 'score bas' END, CASE WHEN regexp_matches(rest, '[\\p{{L}}\\p{{N}}_]') THEN 'texte non couvert' END, CASE WHEN NOT starts_with(signature, 'SUBJ') THEN 'SUBJ absent en tête' END, CASE WHEN starts_with(signature, 'SUBJ') AND signature NOT IN ('SUBJ,ADDR', 'SUBJ,DESC,ADDR', 'SUBJ,DESC', 'SUBJ') THEN 'signature inhabituelle' END) END AS reasons,
   CAST(len(list_filter(spans, lambda s: s.label = 'SUBJ')) AS INTEGER) AS n_subj, CAST(len(list_filter(spans, lambda s: s.label = 'DESC')) AS INTEGER) AS n_desc, CAST(len(list_filter(spans, lambda s: s.label = 'ADDR')) AS INTEGER) AS n_addr FROM s""",
-    "tagged_round_trip": f"WITH {SPANNED_SQL} SELECT id, true AS same_text, true AS same_spans FROM spanned",
+    "tagged_round_trip": f"""WITH {SPANNED_SQL},
+cut AS (SELECT id, text, spans, list_concat([0], list_transform(spans, lambda s: s."end")) AS ends FROM spanned),
+parts AS (SELECT id, text, spans, list_transform(range(1, len(spans) + 1), lambda i: {{'before': text[ends[i] + 1 : spans[i].start], 'own': text[spans[i].start + 1 : spans[i]."end"], 'label': spans[i].label}}) AS p, text[ends[-1] + 1 :] AS rest FROM cut)
+SELECT id, array_to_string(list_transform(p, lambda x: {_ESCAPED.format("x.before")} || '<' || x.label || '>' || {_ESCAPED.format("x.own")} || '</' || x.label || '>'), '') || {_ESCAPED.format("rest")} AS tagged, text,
+  array_to_string(list_transform(spans, lambda s: s.label || ':' || s.start || ':' || s."end"), ',') AS spans,
+  array_to_string(list_transform(list_filter(p, lambda x: x.label = 'ADDR' AND regexp_matches(replace(x.own, '*', ''), '[^ \t\n]')), lambda x: trim(regexp_replace(replace(x.own, '*', ''), '\s+', ' ', 'g'))), '|') AS addresses FROM parts""",
     "span_pieces": f"""WITH {LINES_SQL},
-r AS (SELECT document, pos, length(text) AS n FROM keyed WHERE length(text) > 3),
+r AS (SELECT document, pos, length(text) AS n FROM keyed),
 p AS (SELECT document, pos, n // 4 AS s, n - n // 8 AS e, 'a' AS line, 0 AS a, n // 2 AS z, 2 AS lead FROM r UNION ALL SELECT document, pos, n // 4, n - n // 8, 'b', n // 2 + 1, n + 1, 0 FROM r)
 SELECT document, CAST(pos AS INTEGER) AS pos, line, CAST(greatest(s, a) - a + lead AS INTEGER) AS start, CAST(least(e, z) - a + lead AS INTEGER) AS "end" FROM p WHERE least(e, z) > greatest(s, a)""",
     "title_keys": f"WITH {LINES_SQL} SELECT document, CAST(pos AS INTEGER) AS pos, lower(trim(regexp_replace(strip_accents(regexp_replace(text, '\\*', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) AS title_key, 2 AS level FROM keyed",
@@ -192,7 +198,7 @@ SELECT uuid, CAST(count(*) AS INTEGER) AS lines, CAST(max(coalesce(start, 0)) AS
     "document_layer": f"WITH {CLASSED_SQL} SELECT document, CAST(pos // 10 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS lines, min_by(key, pos) AS first_key, CAST(count_if(doubtful) AS INTEGER) AS doubtful FROM classed GROUP BY ALL",
     "nested_spans": """WITH s AS (SELECT DISTINCT o_custkey AS id, CAST(o_orderkey % 40 AS INTEGER) AS start, CAST(o_orderkey % 40 + 1 + o_orderkey % 13 AS INTEGER) AS "end", o_orderpriority AS label FROM orders)
 SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.id = s.id AND o.label = s.label AND o.start <= s.start AND o."end" >= s."end" AND o."end" - o.start > s."end" - s.start)""",
-    "event_sessions": """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS brk FROM events WHERE user_id IS NOT NULL),
+    "event_sessions": """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS brk FROM events),
 b AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM a)
 SELECT user_id AS "user", min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS events FROM b GROUP BY user_id, k""",
     "event_latest": "SELECT user_id, max(ts) AS ts, max_by(event_type, (ts, event_type)) AS event_type FROM events GROUP BY user_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,12 +58,30 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
     return df.select("left_uuid", "right_uuid", F.expr("nullif(score, '')").cast("double").alias("score"), F.coalesce(F.expr("nullif(source, '')"), F.lit("dedupe")).alias("source"))
 
 
-def discover(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    """volume, range_name, first, last, path of the step files <root>/<volume>/<a>-<b>/...<suffix>, a <= b, a >= 1, in order."""
+def page_range(name: str) -> tuple[int, int]:
+    """First and last page of a range name a-b; ValueError unless 1 <= a <= b."""
+    m = re.fullmatch(r"(\d+)-(\d+)", name)
+    if not m or not 1 <= int(m[1]) <= int(m[2]):
+        raise ValueError(f"no range of pages: {name!r}")
+    return int(m[1]), int(m[2])
+
+
+def discover(spark: SparkSession, root: str, suffix: str, ranges: list[str] | None = None) -> DataFrame:
+    """volume, range_name, first, last, path of the step files <root>/<volume>/<a>-<b>/...<suffix>, a <= b, a >= 1, in order.
+
+    Folders that are no ranges are left out; ranges that are named must be ranges, and have files.
+    """
+    for name in ranges or ():
+        page_range(name)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(root).select("path", "modificationTime")
     parts = files.select("path", "modificationTime", F.regexp_extract("path", r"/([^/]+)/(\d+)-(\d+)/[^/]+$", 1).alias("volume"), F.regexp_extract("path", r"/(\d+-\d+)/[^/]+$", 1).alias("range_name"))
     bounds = parts.withColumn("first", F.split("range_name", "-")[0].cast("int")).withColumn("last", F.split("range_name", "-")[1].cast("int"))
-    return bounds.where((F.col("volume") != "") & (F.col("first") >= 1) & (F.col("first") <= F.col("last"))).orderBy("volume", "first", "last")
+    found = bounds.where((F.col("volume") != "") & (F.col("first") >= 1) & (F.col("first") <= F.col("last")))
+    if ranges is not None:
+        found = found.where(F.col("range_name").isin(*ranges))
+        if missing := set(ranges) - {r["range_name"] for r in found.select("range_name").distinct().collect()}:
+            raise ValueError(f"no files of the ranges {sorted(missing)}")
+    return found.orderBy("volume", "first", "last")
 
 
 def number_records(records: DataFrame) -> DataFrame:

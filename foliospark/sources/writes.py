@@ -5,8 +5,9 @@ from __future__ import annotations
 import csv
 import io
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,38 +55,67 @@ class Plan:
         return [path for path, _ in self.outputs]
 
 
-def write_text(spark: SparkSession, path: str, content: str) -> None:
-    """A file in one step: written beside, then renamed."""
+def write_parts(spark: SparkSession, path: str, parts: Iterable[str]) -> None:
+    """A file in one step: its parts are streamed to one beside it, which then takes its name."""
     jvm = spark.sparkContext._jvm
     target, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = fs.create(beside, True)
-    out.write(bytearray(content.encode()))
-    out.close()
+    try:
+        for part in parts:
+            out.write(bytearray(part.encode()))
+    finally:
+        out.close()
     fs.delete(target, False)
     if not fs.rename(beside, target):
         raise OSError(f"can't write {path}")
 
 
-def csv_text(fields: list[str], rows, separator: str = ",") -> str:
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    write_parts(spark, path, [content])
+
+
+#: Rows that are turned to text at a time.
+ROWS = 5000
+
+
+def csv_parts(fields: list[str], rows: Iterable, separator: str = ",") -> Iterator[str]:
+    """The text of a CSV file, some rows at a time."""
     buffer = io.StringIO()
     writer = csv.writer(buffer, delimiter=separator, lineterminator="\n")
     writer.writerow(fields)
-    writer.writerows(["" if v is None else v for v in r] for r in rows)
-    return buffer.getvalue()
+    for k, r in enumerate(rows, 1):
+        writer.writerow(["" if v is None else v for v in r])
+        if k % ROWS == 0:
+            yield buffer.getvalue()
+            buffer.seek(0)
+            buffer.truncate()
+    yield buffer.getvalue()
+
+
+def csv_text(fields: list[str], rows: Iterable, separator: str = ",") -> str:
+    return "".join(csv_parts(fields, rows, separator))
 
 
 def write_csv(df: DataFrame, path: str, spreadsheet: bool = False) -> None:
-    """A single CSV file in the order of df, streamed through the driver row by row; for spreadsheets semicolons and a byte order mark."""
-    text = csv_text(df.columns, df.toLocalIterator(), ";" if spreadsheet else ",")
-    write_text(df.sparkSession, path, ("﻿" if spreadsheet else "") + text)
+    """A single CSV file in the order of df: the driver holds a partition and some rows of text; for spreadsheets semicolons and a byte order mark."""
+    parts = csv_parts(df.columns, df.toLocalIterator(), ";" if spreadsheet else ",")
+    write_parts(df.sparkSession, path, chain(["\ufeff"] if spreadsheet else [], parts))
+
+
+def json_parts(header: dict, rows: Iterable[str], name: str = "rows") -> Iterator[str]:
+    """The text of a compact JSON object: the header's fields, then the rows, which are JSON themselves."""
+    head = json.dumps(header, ensure_ascii=False, separators=(",", ":"))[:-1]
+    yield f"{head}{',' if header else ''}{json.dumps(name)}:["
+    for k, r in enumerate(rows):
+        yield "," * bool(k) + r
+    yield "]}"
 
 
-def write_json(df: DataFrame, path: str, header: dict | None = None) -> None:
-    """One compact JSON file: header and a list of rows."""
-    rows = [json.loads(r[0]) for r in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator()]
-    body = (header or {}) | {"rows": rows}
-    write_text(df.sparkSession, path, json.dumps(body, ensure_ascii=False, separators=(",", ":")))
+def write_json(df: DataFrame, path: str, header: dict | None = None, name: str = "rows") -> None:
+    """One compact JSON file: header and a list of rows, in the order of df, streamed through the driver."""
+    rows = (r[0] for r in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator())
+    write_parts(df.sparkSession, path, json_parts(header or {}, rows, name))
 
 
 def link_table(links: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:

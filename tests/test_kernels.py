@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliospark.functions import similarity as SI
 from foliospark.functions import spans as SP
@@ -128,20 +129,38 @@ def test_similarities():
     assert full[-1, -1] == 0 and np.isclose(full[0, 0], 0.5 + 0.5 * SI.indel(words[0], words[12]))
 
 
+BAD = ("<SUBJ>a", "a</SUBJ>", "<SUBJ>a<ADDR>b</ADDR></SUBJ>", "<SUBJ>a</ADDR>", "</SUBJ>a<SUBJ>", "<SUBJ>a<SUBJ>")
+
+
+def test_tagged_columns(spark):
+    tagged = ["**<SUBJ>A**bel (J.)</SUBJ>, <ADDR>rue du Bac, 12</ADDR>. a &lt; b", "", "none", "<DESC></DESC>x<SUBJ> *é*  _l_ a_b\u00a0</SUBJ>", "<SUBJ>&lt;&amp;&gt;</SUBJ>", *BAD, None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(tagged)], "i int, t string").select("i", "t", SP.parsed(F.col("t")).alias("p"), SP.label_texts(F.col("t")).alias("texts"))
+    rows = rows.withColumn("back", SP.rendered(F.col("p.text"), F.col("p.spans"))).orderBy("i").collect()
+    for r in rows[:-1]:
+        try:
+            text, spans = SP.parse_tagged(r["t"])
+            assert (r["p"]["text"], [tuple(s) for s in r["p"]["spans"]], r["p"]["error"]) == (text, [tuple(s) for s in spans], None) and r["back"] == r["t"]
+        except ValueError as error:
+            assert r["t"] in BAD and r["p"]["error"] == str(error) and r["p"]["text"] is None
+    assert rows[-1]["p"] is None
+    texts = [r["texts"] for r in rows]
+    assert texts[0] == {"SUBJ": ["Abel (J.)"], "DESC": [], "ADDR": ["rue du Bac, 12"]} and texts[3] == {"SUBJ": ["é l a_b"], "DESC": [], "ADDR": []}
+    assert all(t == {"SUBJ": [], "DESC": [], "ADDR": []} for t in texts[5:])
+    made = spark.createDataFrame([("abcd", [(2, 4, "ADDR", None), (0, 3, "SUBJ", 0.5)]), ("a<b", []), ("x", None)], f"t string, s {SP.SPANS}")
+    assert [r["v"] for r in made.select(SP.rendered(F.col("t"), F.col("s")).alias("v")).collect()] == ["<SUBJ>abc</SUBJ>d", "a&lt;b", "x"]
+
+
 def test_spans():
     tagged = "**<SUBJ>A**bel (J.)</SUBJ>, <ADDR>rue du Bac, 12</ADDR>. a &lt; b"
     text, spans = SP.parse_tagged(tagged)
-    assert text == "**A**bel (J.), rue du Bac, 12. a < b" and SP.render_tagged(text, spans) == tagged
-    assert SP.texts_by_label(tagged) == {"SUBJ": ["Abel (J.)"], "DESC": [], "ADDR": ["rue du Bac, 12"]}
-    for bad in ("<SUBJ>a", "a</SUBJ>", "<SUBJ>a<ADDR>b</ADDR></SUBJ>", "<SUBJ>a</ADDR>"):
+    assert text == "**A**bel (J.), rue du Bac, 12. a < b"
+    for bad in BAD:
         with pytest.raises(ValueError):
             SP.parse_tagged(bad)
-        assert SP.texts_by_label(bad)["SUBJ"] == []
     plain, origin = SP.plain_with_origin(" *Abel* _x_ a_b ")
     assert plain == "Abel x a_b" and [" *Abel* _x_ a_b "[i] for i in origin] == list(plain)
     back = SP.unproject(SP.project(spans, *SP.plain_with_origin(text)), SP.plain_with_origin(text)[1])
     assert [(s.start, s.end) for s in back] == [(2, 14), (16, 30)] or [s.label for s in back] == ["SUBJ", "ADDR"]
-    assert SP.render_tagged("abcd", [Span(0, 3, "SUBJ"), Span(2, 4, "ADDR")]) == "<SUBJ>abc</SUBJ>d"
     assert SP.canonical("R. Vivienne, 44.", [Span(0, 16, "ADDR")]) == SP.canonical("R. Vivienne, 44.", [Span(0, 15, "ADDR")])
 
 
@@ -172,25 +191,41 @@ def test_annotation_forms():
     assert SP.annotated_spans({}) is None
 
 
-def test_brace_groups():
-    def zones(text, group):
-        cut = lambda z: text[z["start"] : z["end"]]
-        return [(cut(m["own"]), [cut(z) for z in m["inherited"]]) for m in group["members"]]
-
-    def grouped(*lines):
-        text, at, segments = "\n".join(lines), 0, []
-        for line in lines:
-            segments.append((at, at + len(line)))
-            at += len(line) + 1
-        return text, layers.brace_group(text, segments)
-
-    text, g = grouped("Fieffé. } *Membres du conseil*", "Pastoret. }", "Thouret. }")
-    assert zones(text, g) == [(n, ["*Membres du conseil*"]) for n in ("Fieffé.", "Pastoret.", "Thouret.")] and not g["problems"]
-    text, g = grouped("I.er { Tuileries } Cuynet.", "{ Roule", "{ Mail } Barat.")
-    assert zones(text, g) == [("Tuileries", ["I.er", "Cuynet."]), ("Roule", ["I.er"]), ("Mail", ["I.er", "Barat."])]
-    text, g = grouped("a } b", "c", "} d", "{ { x")
-    assert [p["segment"] for p in g["problems"]] == [1, 2, 3]
-    assert layers.brace_group("no signs\nhere", [(0, 8), (9, 13)]) is None and layers.brace_group("one { line", [(0, 10)]) is None
+def test_brace_groups(spark):
+    cases = [
+        ("Fieffé. } *Membres du conseil*", "Pastoret. }", "Thouret. }"),
+        ("I.er { Tuileries } Cuynet.", "{ Roule", "{ Mail } Barat."),
+        ("Ports { S.-Bernard..... } Rive gauche.", "{ SS.-Pères..... }", "{ S.-Paul..... } Rive droite.", "{ au Blé..... }"),
+        ("Commissaires. { MM. Touzet.", "{ Lalande, rue Mandar."),
+        ("a } b", "c", "} d", "{ { x"),
+        ("Leroux,", "Caron, } *adjoints*.", "Martin, }"),
+        ("{ Lalande", "{ Perrin"),
+        ("Halles { à la Viande } Places. { d'Aval.", "{ au Beurre }"),
+        ("x } y { z", "  w }"),
+        ("{", "}"),
+        ("no signs", "here"),
+        ("one { line",),
+    ]
+    rows = []
+    for k, lines in enumerate(cases):
+        ends = list(itertools.accumulate(len(line) + 1 for line in lines))
+        rows.append((k, "\n".join(lines), [(z - len(line) - 1, z - 1) for z, line in zip(ends, lines, strict=True)]))
+    df = spark.createDataFrame(rows, "k int, text string, segments array<struct<start:int,end:int>>")
+    got = df.withColumn("g", layers.brace_groups(F.col("text"), F.col("segments"))).orderBy("k").collect()
+    cut = lambda r, z: r["text"][z["start"] : z["end"]]
+    zones = [r["g"] and [(cut(r, m["own"]), [cut(r, z) for z in m["inherited"]]) for m in r["g"]["members"]] for r in got]
+    problems = [r["g"] and [(p["segment"], p["message"]) for p in r["g"]["problems"]] for r in got]
+    assert zones[0] == [(n, ["*Membres du conseil*"]) for n in ("Fieffé.", "Pastoret.", "Thouret.")]
+    assert zones[1] == [("Tuileries", ["I.er", "Cuynet."]), ("Roule", ["I.er"]), ("Mail", ["I.er", "Barat."])]
+    assert zones[2] == [("S.-Bernard.....", ["Ports", "Rive gauche."]), ("SS.-Pères.....", ["Ports", "Rive gauche."]), ("S.-Paul.....", ["Ports", "Rive droite."]), ("au Blé.....", ["Ports", "Rive droite."])]
+    assert [cut(got[2], z) for z in got[2]["g"]["commons"]] == ["Ports", "Rive gauche.", "Rive droite."]
+    assert zones[3] == [("MM. Touzet.", ["Commissaires."]), ("Lalande, rue Mandar.", ["Commissaires."])] and problems[:4] == [[]] * 4
+    assert zones[4][:3] == [("a", ["b"]), ("c", []), ("", ["d"])] and [s for s, _ in problems[4]] == [1, 2, 3]
+    assert problems[5] == [(0, "no brace in a group")] and problems[6] == [(0, "{ without shared text")]
+    assert problems[7] == [(0, "unexpected signs (2 {, 1 })"), (1, "{ without shared text"), (1, "} without shared text")]
+    assert problems[8][0] == (0, "unexpected signs (1 {, 1 })") and zones[8] == [("x } y { z", []), ("w", [])]
+    assert problems[9] == [(0, "{ without shared text"), (0, "member without text of its own"), (1, "} without shared text"), (1, "member without text of its own")]
+    assert zones[10] is zones[11] is None
 
 
 def test_markup():
