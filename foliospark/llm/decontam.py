@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import _WORD_BYTES, as_bytes, bounded_batches, by_name, free_name, fresh, table, words_of
+from foliospark.llm.common import _WORD_BYTES, as_bytes, bounded_batches, by_name, chunks, free_name, fresh, table, words_of
 
 WINDOW = 13
 #: Words of the benchmark in one automaton: bounds what is broadcast and held at a time.
@@ -146,10 +146,12 @@ class Block:
             if stop - start + 1 >= self.shortest:
                 yield start, stop + 1
 
-    def number(self, words: list[bytes], at: np.ndarray) -> np.ndarray:
-        """The block's own numbers of a text's words, -1 for unknown ones; words: the distinct ones, at: which stands where."""
-        get = self.vocabulary.get
-        return np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))[at]
+    def number(self, places: dict[bytes, int], at: np.ndarray) -> np.ndarray:
+        """The block's own numbers of a text's words, -1 for unknown ones; places: the distinct words, at: which of them stands where."""
+        met = list(places.keys() & self.vocabulary.keys())
+        own = np.full(len(places), -1, dtype=np.int64)
+        own[list(map(places.__getitem__, met))] = list(map(self.vocabulary.__getitem__, met))
+        return own[at]
 
     def scan(self, ids: np.ndarray, hit: np.ndarray, longest: np.ndarray, found):
         """Mark the hit words and the longest matching lengths; call found(position, names)."""
@@ -198,9 +200,8 @@ def scan_texts(texts: list[bytes], blocks) -> list[dict]:
     """The result of each text against all blocks (an iterable)."""
     words = (b" " + _BREAK + b" ").join([t.translate(_WORD_BYTES) for t in texts]).split() if texts else []
     breaks = [-1, *(i for i, w in enumerate(words) if w == _BREAK), len(words)] if len(texts) > 1 else [-1, len(words)]
-    known: dict[bytes, int] = {}
-    at = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int64, count=len(words))
-    distinct = list(known)
+    places = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    at = np.fromiter(map(places.__getitem__, words), dtype=np.int32, count=len(words))
     hit, longest = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int32)
     names: dict[int, set[str]] = {}
     starts = np.asarray(breaks[:-1]) + 1
@@ -209,7 +210,7 @@ def scan_texts(texts: list[bytes], blocks) -> list[dict]:
         names.setdefault(int(np.searchsorted(starts, i, side="right")) - 1, set()).update(got)
 
     for block in blocks:
-        block.scan(block.number(distinct, at), hit, longest, found)
+        block.scan(block.number(places, at), hit, longest, found)
     out, total = [], np.concatenate(([0], np.cumsum(hit)))
     for k in range(len(texts)):
         a, z = breaks[k] + 1, breaks[k + 1]
@@ -233,6 +234,11 @@ class Blocks:
         self.packed, self.name = packed, uuid.uuid4().hex
         self.kept = [total <= resident for total in itertools.accumulate(sizes)]
 
+    def parts(self, text: pa.Array):
+        """The texts of a batch, some at a time if the automata are all at hand, else all at once."""
+        for start, stop in chunks(text, 1 << 20 if all(self.kept) else 1 << 40):
+            yield as_bytes(text.slice(start, stop - start))
+
     def __iter__(self):
         if self.name not in _HELD:
             _HELD.clear()
@@ -276,7 +282,7 @@ def _scanner(blocks: Blocks):
 
     @F.arrow_udf(RESULT)
     def scan(text: pa.Array) -> pa.Array:
-        return pa.array(scan_texts(as_bytes(text), blocks), type=kind)
+        return pa.array([r for own in blocks.parts(text) for r in scan_texts(own, blocks)], type=kind)
 
     return scan
 
@@ -305,8 +311,8 @@ def _cleaner(blocks: Blocks, max_span: int, max_coverage: float):
     kind = pa.struct([("goes", pa.bool_()), ("text", pa.string())])
 
     def clean(text: pa.Array) -> pa.Array:
-        out, own = [], as_bytes(text)
-        for t, r in zip(own, scan_texts(own, blocks), strict=True):
+        out = []
+        for t, r in ((t, r) for own in blocks.parts(text) for t, r in zip(own, scan_texts(own, blocks), strict=True)):
             goes = r["n_hit"] > 0 and r["n_hit"] >= max_coverage * r["n_words"]
             long = [] if goes else [(s["start"], s["stop"]) for s in r["spans"] if s["stop"] - s["start"] >= max_span]
             out.append({"goes": goes, "text": cut_spans(t, long).decode() if long else None})
