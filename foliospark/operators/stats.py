@@ -208,3 +208,19 @@ def paired_deltas(one: DataFrame, other: DataFrame, cluster: str, sums: dict[str
     spread = _stack(deltas(resampled), metrics).groupBy("metric").agg(F.percentile("v", F.lit(a)).alias("low"), F.percentile("v", F.lit(1 - a)).alias("high"))
     point = _stack(deltas(total(per).withColumn("__sample", F.lit(0))), metrics)
     return point.join(spread, "metric").select("metric", F.col("v").alias("delta"), "low", "high")
+
+
+def cut(value: Column, bounds: list[float]) -> Column:
+    """The bin (a, b] that a number falls in, null outside."""
+    out = None
+    for a, b in zip(bounds, bounds[1:]):
+        inside, name = (value > a) & (value <= b), f"({a}, {b}]"
+        out = F.when(inside, name) if out is None else out.when(inside, name)
+    return out
+
+
+def described(df: DataFrame, by: str, value: str) -> DataFrame:
+    """count, mean, min, quartiles and max of a value, by group."""
+    q = F.percentile(value, F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]))
+    out = df.groupBy(by).agg(F.count(value).alias("count"), F.round(F.avg(value), 6).alias("mean"), F.min(value).alias("min"), q.alias("__q"), F.max(value).alias("max"))
+    return out.select(by, "count", "mean", "min", *[F.col("__q")[k].alias(n) for k, n in enumerate(("q25", "q50", "q75"))], "max")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import spans as SP
-from foliospark.functions.text import heading_class, title_key, title_level
+from foliospark.functions.text import heading_class, strip, title_key, title_level
 from foliospark.operators import crf as CR
+from foliospark.operators import entities as E
 from foliospark.operators import extraction as EX
 from foliospark.operators import features as FE
 from foliospark.operators import layers as LA
@@ -108,18 +109,71 @@ def entity_pieces(spark, sf_dir):
     return ents.join(built, "uuid").select("uuid", F.size("pieces").alias("lines"), last["start"].alias("last_start"), last["end"].alias("last_end"), (F.regexp_replace(F.col("markdown"), r"(?U)^\s+|\s+$", "") == F.col("text")).alias("same"))
 
 
-def structure_layer(spark, sf_dir):
-    ents = entities_of(spark, sf_dir)
+def braced_lines(spark, sf_dir):
+    """Classed lines of pages of ten, with braces: an entry's first line shares `tous`, its sub-entries stand in the brace."""
+    plain_ = F.translate("text", "{}", "")
+    text = F.when(F.col("class") == "B-ENTRY", F.concat(plain_, F.lit(" } tous"))).when(F.col("class") == "SUB-ENTRY", F.concat(plain_, F.lit(" }"))).otherwise(plain_)
+    return classed_lines(spark, sf_dir).withColumn("text", text).withColumn("page", F.floor(F.col("pos") / 10).cast("int")).withColumn("corrected", F.substring("key", 9, 1) == "0")
+
+
+def _structure(spark, sf_dir):
+    lines = braced_lines(spark, sf_dir)
+    ents = E.with_parent(E.with_uuid(E.merge(lines)))
     keys = ents.select("document", "uuid", F.posexplode(F.split("key", ",")).alias("nth", "key"))
-    met = keys.join(classed_lines(spark, sf_dir).select("document", "key", "class", "text"), ["document", "key"])
-    out = LA.structure(ents, met.select("uuid", F.col("nth").alias("pos"), F.col("key").alias("line"), "class", "text"))
-    return out.groupBy("entity", "kind", "error").agg(F.count(F.lit(1)).alias("n"), F.count("level").alias("levels"))
+    met = keys.join(lines, ["document", "key"]).select("uuid", F.col("nth").alias("pos"), F.concat_ws(":", "document", "key").alias("line"), "class", "text", "page", "confidence", "doubtful", "corrected")
+    built = ents.where(F.col("entity") == "ENTRY").select("uuid", strip(F.col("markdown")).alias("text")).withColumn("n", F.floor(F.length("text") / 3).cast("int"))
+    span = lambda a, z, label: F.struct(a.cast("int").alias("start"), z.cast("int").alias("end"), F.lit(label).alias("label"), F.lit(0.5).alias("score"))
+    first = F.substring("uuid", 1, 1)
+    spans = F.filter(F.array(F.when(first > "3", span(F.lit(0), F.col("n"), "SUBJ")), F.when(first > "9", span(F.col("n") * 2, F.length("text"), "ADDR"))), lambda s: s["end"] > s["start"])
+    tags = built.select("uuid", spans.alias("spans"), (F.conv(F.substring("uuid", 2, 1), 16, 10).cast("int") / 16).alias("ner_confidence"), F.when(first == "0", F.array(F.lit("score bas"))).alias("ner_suspect"), (first == "1").alias("corrected"))
+    return LA.structure(ents, met, tags)
+
+
+def structure_layer(spark, sf_dir):
+    """The whole row of each entity; lists as text."""
+    told = lambda x, *c: F.array_join(F.transform(x, lambda v: F.concat_ws(":", *[v[n].cast("string") for n in c])), ",")
+    return _structure(spark, sf_dir).select(
+        "range", "uuid", "parent", "entity", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages"), "text", told("lines", "line", "start", "end").alias("lines"), "level", "heading", "kind",
+        told("spans", "id", "label", "start", "end").alias("spans"), "quality.*", F.array_join("quality.ner_suspect", ",").alias("suspect"), "error").drop("ner_suspect")
+
+
+def brace_members(spark, sf_dir):
+    """The members of all groups, and what is to be checked about a member's signs."""
+    rows = _structure(spark, sf_dir).where(F.col("kind") == "group").select("uuid", F.posexplode("members").alias("segment", "m"), "problems")
+    signs = F.filter("problems", lambda p: (p["segment"] == F.col("segment")) & ~p["message"].startswith("span ") & ~p["message"].startswith("member without SUBJ"))
+    zones = F.array_join(F.transform("m.inherited", lambda z: F.concat_ws("-", z["start"].cast("string"), z["end"].cast("string"))), ",")
+    return rows.select("uuid", "segment", F.col("m.id").alias("id"), F.array_join("m.lines", ",").alias("lines"), F.col("m.own.start").alias("own_start"), F.col("m.own.end").alias("own_end"), zones.alias("inherited"), F.size("m.spans").alias("spans"), F.array_join(F.transform(signs, lambda p: p["message"]), "; ").alias("problems"))
+
+
+def _document(spark, sf_dir):
+    """The lines of all documents as pages of ten with blocks of five, some added by hand, some labelled, a page without lines."""
+    lines = classed_lines(spark, sf_dir)
+    spot = lambda c: [F.floor(c / 10).cast("int").alias("page"), F.floor(c % 10 / 5).cast("int").alias("block")]
+    digit = F.substring("key", 10, 1)
+    ocr = lines.select("document", "key", F.concat(F.lit("u"), F.col("pos").cast("string")).alias("uid"), *spot(F.col("pos")), F.col("text").alias("markdown"), F.when(digit > "3", F.array(F.struct(F.lit("w").alias("word"), F.col("confidence").alias("score")), F.struct(F.lit("x").alias("word"), F.lit(0.95).alias("score")))).alias("words"), F.when(digit > "1", F.array(F.lit(1), F.lit(2), F.col("pos"), F.lit(4))).alias("bbox"))
+    table = lines.select("document", F.col("pos").cast("double").alias("pos"), "key", *spot(F.col("pos")), "class", F.when(digit == "0", F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), (digit == "0").alias("corrected"), F.when(digit > "7", F.lit(0.5)).alias("probability"), F.when(digit > "b", F.lit("model")).alias("provenance"))
+    added = lines.where(digit == "2").select("document", (F.col("pos") + 0.5).alias("pos"), F.concat("key", F.lit("+1")).alias("key"), *spot(F.col("pos")), F.lit("I-ENTRY").alias("class"), F.lit("added").alias("text"), F.lit(True).alias("corrected"), F.lit(None).cast("double").alias("probability"), F.lit("").alias("provenance"))
+    box = F.array(*[F.lit(float(x)) for x in (10, 20, 510, 820)])
+    pages = lines.groupBy("document").agg(F.max("pos").alias("last")).select("document", F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / 10).cast("int") + 1)).alias("page_index"))
+    pages = pages.select("document", "page_index", box.alias("page_box"), F.transform(F.sequence(F.lit(0), F.lit(1)), lambda i: F.struct(i.alias("index"), F.lit("Text").alias("label"), F.array(F.lit(0.0), i.cast("double")).alias("bbox"))).alias("data_blocks"))
+    return table.unionByName(added), ocr, pages
 
 
 def document_layer(spark, sf_dir):
-    lines = classed_lines(spark, sf_dir).withColumn("page", F.floor(F.col("pos") / 10).cast("int"))
-    out = LA.document_layer(lines)
-    return out.select("document", "page", F.size("lines").alias("lines"), F.element_at("lines", 1)["key"].alias("first_key"), F.size(F.filter("lines", lambda x: x["doubtful"])).alias("doubtful"))
+    """A row for each line of each page, and one for a page without lines."""
+    out = LA.document_layer(*_document(spark, sf_dir))
+    x = lambda c: F.col(f"x.{c}")
+    return out.select(F.col("id").alias("page_id"), "page", F.array_join(F.col("size").cast("array<string>"), "x").alias("size"), F.array_join(F.transform("blocks", lambda b: b["id"]), ",").alias("blocks"), F.posexplode_outer("lines").alias("nth", "x")).select("page_id", "page", "size", "blocks", "nth", x("id").alias("id"), x("uid").alias("uid"), x("block").alias("block"), x("origin").alias("origin"), x("class").alias("class"), x("text").alias("text"), x("ocr_text").alias("ocr_text"), F.array_join(x("bbox_estimate").cast("array<string>"), ",").alias("bbox"), x("ocr.confidence").alias("confidence"), x("ocr.doubtful").alias("doubtful"), F.size(x("ocr.words")).alias("words"), x("labeling.probability").alias("probability"), x("labeling.provenance").alias("provenance"), x("corrected").alias("corrected"))
+
+
+def layer_problems(spark, sf_dir):
+    """Against an OCR that lacks some lines and pages."""
+    table, ocr, pages = _document(spark, sf_dir)
+    return LA.layer_problems(table, ocr.where(F.substring("key", 11, 1) != "0"), pages.where(F.col("page_index") % 7 != 3))
+
+
+def export_counts(spark, sf_dir):
+    return LA.export_counts(LA.document_layer(*_document(spark, sf_dir)), _structure(spark, sf_dir))
 
 
 def tagging_metrics(spark, sf_dir):
@@ -163,7 +217,44 @@ def event_latest(spark, sf_dir):
     return sessions.latest(read(spark, sf_dir, "events", "ts", "user_id", "event_type"))
 
 
-QUERIES = {f.__name__: f for f in (suspicion, tagged_round_trip, span_pieces, title_keys, heading_guess, line_features, all_features, containing_chunk, html_blocks, entity_pieces, structure_layer, document_layer, tagging_metrics, nested_spans, labeller, learned_links, event_sessions, event_latest)}
+QUERIES = {f.__name__: f for f in (suspicion, tagged_round_trip, span_pieces, title_keys, heading_guess, line_features, all_features, containing_chunk, html_blocks, entity_pieces, structure_layer, brace_members, document_layer, layer_problems, export_counts, tagging_metrics, nested_spans, labeller, learned_links, event_sessions, event_latest)}
+
+DOCUMENT_SQL = CLASSED_SQL + """,
+pages AS (SELECT document, CAST(unnest(range(0, max(pos) // 10 + 2)) AS INTEGER) AS page FROM classed GROUP BY document),
+base AS (SELECT *, substr(key, 10, 1) AS digit, CAST(pos // 10 AS INTEGER) AS page, CAST(pos % 10 // 5 AS INTEGER) AS block FROM classed),
+t AS (
+  SELECT document, CAST(pos AS DOUBLE) AS pos, key, page, block, 'u' || pos AS uid, 'ocr' AS origin, class, CASE WHEN digit = '0' THEN text || '!' ELSE text END AS text, text AS ocr_text, CASE WHEN digit > '1' THEN '1,2,' || pos || ',4' END AS bbox,
+    CASE WHEN digit > '3' THEN least(confidence, 0.95::DOUBLE) END AS confidence, CASE WHEN digit > '3' THEN least(confidence, 0.95::DOUBLE) < 0.9::DOUBLE END AS doubtful, CASE WHEN digit > '7' THEN 0.5::DOUBLE END AS probability, CASE WHEN digit > 'b' THEN 'model' END AS provenance, digit = '0' AS corrected FROM base
+  UNION ALL SELECT document, pos + 0.5, key || '+1', page, block, NULL, 'added', 'I-ENTRY', 'added', NULL, NULL, NULL, NULL, NULL, NULL, true FROM base WHERE digit = '2')"""
+
+
+def uuid5_sql(digest: str) -> str:
+    return f"substr({digest}, 1, 8) || '-' || substr({digest}, 9, 4) || '-5' || substr({digest}, 14, 3) || '-' || substr('89ab', CAST('0x' || substr({digest}, 17, 1) AS INTEGER) % 4 + 1, 1) || substr({digest}, 18, 3) || '-' || substr({digest}, 21, 12)"
+
+
+#: The lines of `braced_lines`, in the place of the classed ones that entities are made of.
+_BRACED = """,
+classed AS (SELECT document, pos, key, class, confidence, doubtful, replace(replace(text, '{', ''), '}', '') || CASE class WHEN 'B-ENTRY' THEN ' } tous' WHEN 'SUB-ENTRY' THEN ' }' ELSE '' END AS text, CAST(pos // 10 AS INTEGER) AS page FROM unbraced)"""
+STRUCTURE_TAIL = f"""pieces AS (
+  SELECT uuid, nth, c.*, trim(c.text, ' ' || chr(9) || chr(13)) AS s, coalesce(sum(length(trim(c.text, ' ' || chr(9) || chr(13))) + 1) OVER (PARTITION BY uuid ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM (SELECT document, uuid, unnest(string_split(key, ',')) AS key, unnest(range(len(string_split(key, ',')))) AS nth FROM entities) k JOIN classed c USING (document, key)),
+built AS (SELECT uuid, string_agg(CASE WHEN nth = 0 THEN '' WHEN class = 'SUB-ENTRY' THEN chr(10) ELSE ' ' END || s, '' ORDER BY nth) AS text FROM pieces GROUP BY uuid),
+cut AS (SELECT uuid, text, length(text) // 3 AS n FROM built JOIN entities USING (uuid) WHERE entity = 'ENTRY'),
+spans0 AS (SELECT uuid, text, 0 AS start, n AS "end", 'SUBJ' AS label FROM cut WHERE substr(uuid, 1, 1) > '3' UNION ALL SELECT uuid, text, 2 * n, length(text), 'ADDR' FROM cut WHERE substr(uuid, 1, 1) > '9'),
+spans1 AS (SELECT *, sha1(unhex('{LA.SPAN_SPACE.hex}') || encode(uuid || '#' || label || '#' || trim(regexp_replace(replace(text[start + 1 : "end"], '*', ''), '\\s+', ' ', 'g')) || '#1')) AS d FROM spans0 WHERE "end" > start),
+spanned AS (SELECT uuid, label, start, "end", {uuid5_sql("d")} AS id FROM spans1),
+seg0 AS (SELECT p.*, sum(CAST(class = 'SUB-ENTRY' AND nth > 0 AS INTEGER)) OVER (PARTITION BY uuid ORDER BY nth) AS segment FROM pieces p JOIN entities USING (uuid) WHERE entity = 'ENTRY'),
+seg1 AS (SELECT uuid, segment, min(start) AS a, max(start + length(s)) AS z, string_agg(s, ' ' ORDER BY nth) AS part, string_agg(document || ':' || key, ',' ORDER BY nth) AS lines, count(*) OVER (PARTITION BY uuid) AS n, bool_or(contains(string_agg(s, ' '), '}}')) OVER (PARTITION BY uuid) AS signed FROM seg0 GROUP BY uuid, segment),
+seg2 AS (SELECT *, contains(part, '}}') AS has, CASE WHEN contains(part, '}}') THEN rtrim(split_part(part, '}}', 1), ' ' || chr(9) || chr(13)) ELSE part END AS own, CASE WHEN contains(part, '}}') THEN nullif(trim(split_part(part, '}}', 2), ' ' || chr(9) || chr(13)), '') END AS shared FROM seg1 WHERE n > 1 AND signed),
+seg3 AS (SELECT *, sum(CAST(NOT has AS INTEGER)) OVER (PARTITION BY uuid ORDER BY segment) AS run FROM seg2),
+members AS (
+  SELECT uuid, segment, lines, has, shared, own, a AS own_start, a + length(own) AS own_end, row_number() OVER (PARTITION BY uuid, run ORDER BY segment) = CASE WHEN run = 0 THEN 1 ELSE 2 END AS bare,
+    CASE WHEN has THEN last_value(CASE WHEN shared IS NOT NULL THEN z - length(shared) END IGNORE NULLS) OVER w END AS shared_start, CASE WHEN has THEN last_value(CASE WHEN shared IS NOT NULL THEN z END IGNORE NULLS) OVER w END AS shared_end,
+    sha1(unhex('{LA.MEMBER_SPACE.hex}') || encode(uuid || '#' || split_part(lines, ',', 1))) AS d
+  FROM seg3 WINDOW w AS (PARTITION BY uuid, run ORDER BY segment ROWS UNBOUNDED PRECEDING))"""
+STRUCTURE_SQL = ENTITIES_SQL.replace("\nclassed AS (SELECT", "\nunbraced AS (SELECT", 1).replace(",\ntracked AS", _BRACED + ",\ntracked AS", 1) + ",\n" + STRUCTURE_TAIL
+#: Both layers: the document's lines are those without braces.
+_BOTH_SQL = STRUCTURE_SQL + "," + DOCUMENT_SQL.split("AS text FROM classed0)", 1)[1].removeprefix(",").replace("FROM classed", "FROM unbraced")
 
 _ESCAPED = "replace(replace({}, '<', '&lt;'), '>', '&gt;')"
 
@@ -178,7 +269,7 @@ cut AS (SELECT id, text, spans, list_concat([0], list_transform(spans, lambda s:
 parts AS (SELECT id, text, spans, list_transform(range(1, len(spans) + 1), lambda i: {{'before': text[ends[i] + 1 : spans[i].start], 'own': text[spans[i].start + 1 : spans[i]."end"], 'label': spans[i].label}}) AS p, text[ends[-1] + 1 :] AS rest FROM cut)
 SELECT id, array_to_string(list_transform(p, lambda x: {_ESCAPED.format("x.before")} || '<' || x.label || '>' || {_ESCAPED.format("x.own")} || '</' || x.label || '>'), '') || {_ESCAPED.format("rest")} AS tagged, text,
   array_to_string(list_transform(spans, lambda s: s.label || ':' || s.start || ':' || s."end"), ',') AS spans,
-  array_to_string(list_transform(list_filter(p, lambda x: x.label = 'ADDR' AND regexp_matches(replace(x.own, '*', ''), '[^ \t\n]')), lambda x: trim(regexp_replace(replace(x.own, '*', ''), '\s+', ' ', 'g'))), '|') AS addresses FROM parts""",
+  array_to_string(list_transform(list_filter(p, lambda x: x.label = 'ADDR' AND regexp_matches(replace(x.own, '*', ''), '[^ \\t\\n]')), lambda x: trim(regexp_replace(replace(x.own, '*', ''), '\\s+', ' ', 'g'))), '|') AS addresses FROM parts""",
     "span_pieces": f"""WITH {LINES_SQL},
 r AS (SELECT document, pos, length(text) AS n FROM keyed),
 p AS (SELECT document, pos, n // 4 AS s, n - n // 8 AS e, 'a' AS line, 0 AS a, n // 2 AS z, 2 AS lead FROM r UNION ALL SELECT document, pos, n // 4, n - n // 8, 'b', n // 2 + 1, n + 1, 0 FROM r)
@@ -195,7 +286,29 @@ SELECT page_id, CASE WHEN r <= 300 THEN 1 WHEN l >= 250 AND r <= 600 THEN 2 WHEN
 k AS (SELECT document, uuid, markdown, unnest(string_split(key, ',')) AS key, unnest(range(len(string_split(key, ',')))) AS nth FROM entities),
 t AS (SELECT k.uuid, nth, trim(text, ' ' || chr(9) || chr(13)) AS s, sum(length(trim(text, ' ' || chr(9) || chr(13))) + 1) OVER (PARTITION BY k.uuid ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS start FROM k JOIN classed c ON c.document = k.document AND c.key = k.key)
 SELECT uuid, CAST(count(*) AS INTEGER) AS lines, CAST(max(coalesce(start, 0)) AS INTEGER) AS last_start, CAST(max(coalesce(start, 0) + length(s)) AS INTEGER) AS last_end, true AS same FROM t GROUP BY uuid""",
-    "document_layer": f"WITH {CLASSED_SQL} SELECT document, CAST(pos // 10 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS lines, min_by(key, pos) AS first_key, CAST(count_if(doubtful) AS INTEGER) AS doubtful FROM classed GROUP BY ALL",
+    "document_layer": f"""WITH {DOCUMENT_SQL}
+SELECT p.document || ':' || p.page AS page_id, p.page, '500.0x800.0' AS size, p.document || ':' || p.page || '.0,' || p.document || ':' || p.page || '.1' AS blocks, CASE WHEN t.key IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY p.document, p.page ORDER BY t.pos) - 1 AS INTEGER) END AS nth,
+  t.document || ':' || t.key AS id, uid, t.document || ':' || t.page || '.' || t.block AS block, origin, class, text, ocr_text, bbox, confidence, doubtful, CASE WHEN confidence IS NOT NULL THEN 2 ELSE NULL END AS words, probability, provenance, corrected
+FROM pages p LEFT JOIN t ON t.document = p.document AND t.page = p.page""",
+    "layer_problems": f"""WITH {DOCUMENT_SQL}
+SELECT document, key, CASE WHEN origin = 'ocr' AND substr(key, 11, 1) = '0' THEN 'no such line in the OCR' ELSE 'no such page' END AS problem FROM t WHERE (origin = 'ocr' AND substr(key, 11, 1) = '0') OR page % 7 = 3""",
+    "export_counts": f"""WITH {_BOTH_SQL}
+SELECT (SELECT count(*) FROM pages) AS pages, (SELECT count(*) FROM t) AS lines, (SELECT count_if(origin = 'added') FROM t) AS added_lines, (SELECT count_if(class = 'SUPPRIMÉE') FROM t) AS deleted_lines, (SELECT count_if(origin = 'ocr' AND bbox IS NULL) FROM t) AS lines_without_box,
+  (SELECT count_if(entity = 'TITLE') FROM entities) AS titles, (SELECT count_if(entity = 'ENTRY') FROM entities) AS entries, (SELECT count_if(entity = 'OUT OF SCOPE') FROM entities) AS out_of_scope, (SELECT count(DISTINCT uuid) FROM members) AS "groups", (SELECT count(*) FROM members) AS members,
+  (SELECT count(*) FROM spanned WHERE label = 'SUBJ') AS spans_subj, 0 AS spans_desc, (SELECT count(*) FROM spanned WHERE label = 'ADDR') AS spans_addr""",
+    "structure_layer": f"""WITH {STRUCTURE_SQL},
+quality AS (SELECT uuid, min(confidence) AS ocr_confidence, bool_or(doubtful) AS ocr_doubtful, bool_or(substr(key, 9, 1) = '0') AS corrected_lines, string_agg(DISTINCT page, ',' ORDER BY page) AS pages, string_agg(document || ':' || key || ':' || start || ':' || (start + length(s)), ',' ORDER BY nth) AS lines FROM pieces GROUP BY uuid),
+tags AS (SELECT uuid, string_agg(id || ':' || label || ':' || start || ':' || "end", ',' ORDER BY start) AS spans FROM spanned GROUP BY uuid),
+grouped AS (SELECT DISTINCT uuid FROM members)
+SELECT e.document AS range, e.uuid, parent_uuid AS parent, entity, q.pages, b.text, q.lines, CASE WHEN entity = 'TITLE' THEN nullif(length(regexp_extract(b.text, '^\\s*(#+)', 1)), 0) END AS level,
+  CASE WHEN entity = 'TITLE' THEN trim(regexp_replace(replace(regexp_replace(b.text, '^\\s*#+', ''), '*', ''), '\\s+', ' ', 'g')) END AS heading, CASE WHEN entity = 'ENTRY' THEN CASE WHEN g.uuid IS NULL THEN 'single' ELSE 'group' END END AS kind, CASE WHEN entity = 'ENTRY' THEN coalesce(t.spans, '') END AS spans,
+  CASE WHEN entity = 'ENTRY' THEN ocr_confidence END AS ocr_confidence, CASE WHEN entity = 'ENTRY' THEN ocr_doubtful END AS ocr_doubtful, CASE WHEN entity = 'ENTRY' THEN CAST('0x' || substr(e.uuid, 2, 1) AS INTEGER) / 16 END AS ner_confidence, CASE WHEN entity = 'ENTRY' THEN corrected_lines END AS corrected_lines,
+  CASE WHEN entity = 'ENTRY' THEN substr(e.uuid, 1, 1) = '1' END AS corrected_ner, CASE WHEN entity = 'ENTRY' THEN CASE WHEN substr(e.uuid, 1, 1) = '0' THEN 'score bas' ELSE '' END END AS suspect, CAST(NULL AS VARCHAR) AS error
+FROM entities e JOIN quality q USING (uuid) JOIN built b USING (uuid) LEFT JOIN tags t USING (uuid) LEFT JOIN grouped g USING (uuid)""",
+    "brace_members": f"""WITH {STRUCTURE_SQL}
+SELECT m.uuid, CAST(segment AS INTEGER) AS segment, {uuid5_sql("m.d")} AS id, lines, CAST(own_start AS INTEGER) AS own_start, CAST(own_end AS INTEGER) AS own_end, coalesce(shared_start || '-' || shared_end, '') AS inherited,
+  CAST((SELECT count(*) FROM spanned s WHERE s.uuid = m.uuid AND s.start >= own_start AND s."end" <= own_end) AS INTEGER) AS spans,
+  concat_ws('; ', CASE WHEN has AND shared IS NULL AND bare THEN '}} without shared text' END, CASE WHEN NOT has THEN 'no brace in a group' END, CASE WHEN own = '' THEN 'member without text of its own' END) AS problems FROM members m""",
     "nested_spans": """WITH s AS (SELECT DISTINCT o_custkey AS id, CAST(o_orderkey % 40 AS INTEGER) AS start, CAST(o_orderkey % 40 + 1 + o_orderkey % 13 AS INTEGER) AS "end", o_orderpriority AS label FROM orders)
 SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM s o WHERE o.id = s.id AND o.label = s.label AND o.start <= s.start AND o."end" >= s."end" AND o."end" - o.start > s."end" - s.start)""",
     "event_sessions": """WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS brk FROM events),
