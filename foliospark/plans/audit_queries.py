@@ -369,7 +369,7 @@ sums AS (SELECT sample, sum(better * n) / sum(every * n) - sum(good * n) / sum(e
 SELECT 'exactness' AS metric, round((SELECT sum(better) / sum(every) - sum(good) / sum(every) FROM per), 9) AS delta, round(quantile_cont(v, 0.025), 9) AS low, round(quantile_cont(v, 0.975), 9) AS high FROM sums""",
     "constant_groups": f"""WITH {LINES_SQL},
 n AS (SELECT *, count(*) OVER (PARTITION BY document) AS n FROM keyed)
-SELECT g AS "group" FROM (SELECT unnest(gs) AS g FROM (SELECT ['bias', 'placebo_constant', CASE WHEN count(DISTINCT regexp_matches(text, '^\{{\d+\}}[-—_]*$')) = 1 THEN 'page_marker_v1' END, CASE WHEN max(n) = 1 THEN 'sequence_bounds' END] AS gs FROM n)) WHERE g IS NOT NULL""",
+SELECT g AS "group" FROM (SELECT unnest(gs) AS g FROM (SELECT ['bias', 'placebo_constant', CASE WHEN count(DISTINCT regexp_matches(text, '^\\{{\\d+\\}}[-—_]*$')) = 1 THEN 'page_marker_v1' END, CASE WHEN max(n) = 1 THEN 'sequence_bounds' END] AS gs FROM n)) WHERE g IS NOT NULL""",
     "tagged_html": f"""WITH {SPANNED_SQL},
 cut AS (SELECT id, key, text, spans, list_concat([0], list_transform(spans, lambda s: s."end")) AS ends FROM spanned),
 parts AS (SELECT id, key, text, list_transform(range(1, len(spans) + 1), lambda i: {{'before': text[ends[i] + 1 : spans[i].start], 'own': text[spans[i].start + 1 : spans[i]."end"], 'label': spans[i].label}}) AS p, text[ends[-1] + 1 :] AS rest FROM cut)

@@ -237,7 +237,7 @@ SQL = {
 w AS (SELECT *, greatest(1, (SELECT sum(n) FROM c) // 4) AS size, sum(n) OVER o - n AS below, sum(sqrt(n)) OVER () - sum(sqrt(n)) OVER o + sqrt(n) AS roots FROM c WINDOW o AS (ORDER BY n, source)),
 r AS (SELECT *, (size - below) / roots AS rate FROM w),
 b AS (SELECT coalesce(min_by(rate, (n, source)) FILTER (sqrt(n) > rate), max_by(rate, (n, source))) AS rate FROM r)
-SELECT source, least(n, greatest(1, CAST(round_even(b.rate * sqrt(n), 0) AS BIGINT))) AS rows, round(CAST(n AS DOUBLE), 6) AS weight FROM c, b""",
+SELECT source, least(n, greatest(1, CAST(round_even(round(b.rate * sqrt(n), 9), 0) AS BIGINT))) AS rows, round(CAST(n AS DOUBLE), 6) AS weight FROM c, b""",
     "bootstrap_interval": f"""WITH {SCORED_SQL},
 per AS (SELECT page, sum(weight * CAST(correct AS INTEGER)) AS good, sum(weight) AS every FROM scored GROUP BY page),
 drawn AS (SELECT sample, good, every, (CAST('0x' || substr(md5('0:' || sample || ':' || page), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM per, (SELECT unnest(range(1, 201)) AS sample)),

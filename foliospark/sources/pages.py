@@ -43,15 +43,28 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_patch(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A hand-edited CSV: cells stripped, missing columns empty, line numbers from 2; empty if there is no file."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    if not exists(spark, path):
         return spark.createDataFrame([], ", ".join(["line long", *[f"`{c}` string" for c in columns]]))
     df = read_table(spark, path).coalesce(1)  # a patch is edited by hand; its line numbers are those of one file
     cells = [F.regexp_replace(F.col(f"`{c}`"), r"(?U)^\s+|\s+$", "").alias(c) if c in df.columns else F.lit("").alias(c) for c in columns]
     return df.select((F.monotonically_increasing_id() + 2).alias("line"), *cells)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_edited(spark: SparkSession, path: str) -> DataFrame | None:
+    """A single CSV table as people left it, with pos from 0 in the order of the file; None if there is no file."""
+    return read_table(spark, path).coalesce(1).withColumn("pos", F.monotonically_increasing_id()) if exists(spark, path) else None
+
+
+def hashes(spark: SparkSession, *paths: str) -> DataFrame:
+    """path, sha256 of files, folders of files and patterns."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("path", F.sha2("content", 256).alias("sha256"))
+
+
 def read_links(spark: SparkSession, path: str) -> DataFrame:
     """left_uuid, right_uuid, score (null where empty), source (learned where empty)."""
     df = read_table(spark, path)

@@ -38,6 +38,12 @@ class Plan:
     def table(self, path: str, df: DataFrame, single: bool = True) -> None:
         self.outputs.append((path, lambda p: write_csv(df, p) if single else df.write.mode("overwrite").csv(p, header=True)))
 
+    def spreadsheet(self, path: str, df: DataFrame, excel: bool) -> None:
+        self.outputs.append((path, lambda p: write_csv(df, p, excel)))
+
+    def json(self, path: str, df: DataFrame, header: dict | None = None, name: str = "rows") -> None:
+        self.outputs.append((path, lambda p: write_json(df, p, header, name)))
+
     def parquet(self, path: str, df: DataFrame) -> None:
         self.outputs.append((path, lambda p: df.write.mode("overwrite").parquet(p)))
 
@@ -50,25 +56,44 @@ class Plan:
         if problems:
             raise Conflict(problems)
         if self.apply:
+            # an output may be an input too: all are written beside before the first takes its name
             for path, write in self.outputs:
-                write(path)
+                write(path + ".new")
+            for path, _ in self.outputs:
+                _rename(self.spark, path + ".new", path)
         return [path for path, _ in self.outputs]
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and its file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _rename(spark: SparkSession, path: str, target: str) -> None:
+    (where, fs), (to, _) = _place(spark, path), _place(spark, target)
+    fs.delete(to, True)
+    if not fs.rename(where, to):
+        raise OSError(f"can't write {target}")
+
+
 def write_parts(spark: SparkSession, path: str, parts: Iterable[str]) -> None:
-    """A file in one step: its parts are streamed to one beside it, which then takes its name."""
-    jvm = spark.sparkContext._jvm
-    target, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = fs.create(beside, True)
+    """A file in one step: its parts are streamed to one beside it, which then takes its name.
+
+    It gets no checksum file beside it: people edit it by other means than this file system.
+    """
+    beside, fs = _place(spark, path + ".tmp")
+    fs.setWriteChecksum(False)
     try:
-        for part in parts:
-            out.write(bytearray(part.encode()))
+        out = fs.create(beside, True)
+        try:
+            for part in parts:
+                out.write(bytearray(part.encode()))
+        finally:
+            out.close()
     finally:
-        out.close()
-    fs.delete(target, False)
-    if not fs.rename(beside, target):
-        raise OSError(f"can't write {path}")
+        fs.setWriteChecksum(True)
+    _rename(spark, path + ".tmp", path)
 
 
 def write_text(spark: SparkSession, path: str, content: str) -> None:

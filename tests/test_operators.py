@@ -223,17 +223,22 @@ def test_tagging(spark):
     scores = tagging.exact_scores(spans.where("label = 'A'"), spans.where("start = 2")).orderBy("label")
     assert values(scores, "label", "tp", "predicted", "gold") == [("A", 1, 1, 2), ("B", 0, 1, 0)]
     check = tagging.correction_problem(F.lit("<SUBJ>a</SUBJ>"), F.lit("b"), F.lit(True))
-    assert one(spark, check) == "text has changed" and one(spark, tagging.correction_problem(F.lit("<SUBJ>a"), F.lit("a"), F.lit(True))).startswith("<SUBJ>")
+    assert one(spark, check) == "text has changed" and one(spark, tagging.correction_problem(F.lit("<SUBJ>a"), F.lit("a"), F.lit(True))).endswith("<SUBJ>")
 
 
 def test_layers(spark):
-    rows = [("e", 0, "x", "B-ENTRY", " Un { a "), ("e", 1, "y", "SUB-ENTRY", "{ b"), ("t", 0, "z", "B-TITLE", "## T")]
+    rows = [("r", 0, "w", "B-ENTRY", "far"), ("e", 0, "x", "B-ENTRY", " Un { a "), ("e", 1, "y", "SUB-ENTRY", "{ b"), ("t", 0, "z", "B-TITLE", "## T")]
     ln = spark.createDataFrame(rows, "uuid string, pos int, line string, class string, text string")
-    ents = spark.createDataFrame([("e", "t", "ENTRY", "Un { a\n{ b"), ("t", keys.ROOT, "TITLE", "## T"), ("q", "nowhere", "ENTRY", "lost")], "uuid string, parent_uuid string, entity string, markdown string")
+    ents = spark.createDataFrame([("d", "e", "t", "ENTRY", "Un { a\n{ b"), ("d", "t", keys.ROOT, "TITLE", "## T"), ("d", "q", "nowhere", "ENTRY", "lost"), ("other", "r", "t", "ENTRY", "far")], "document string, uuid string, parent_uuid string, entity string, markdown string")
     spans = spark.createDataFrame([("e", [(0, 2, "SUBJ", 1.0), (5, 6, "ADDR", 1.0)])], "uuid string, spans array<struct<start:int,end:int,label:string,score:double>>")
     got = {r["uuid"]: r for r in layers.structure(ents, ln, spans).collect()}
     assert got["e"]["kind"] == "group" and got["e"]["error"] is None and [len(m["inherited_spans"]) for m in got["e"]["members"]] == [1, 1]
-    assert (got["t"]["level"], got["t"]["heading"]) == (2, "T") and got["q"]["error"] == "lines are missing"
+    assert (got["t"]["level"], got["t"]["heading"]) == (2, "T") and got["q"]["error"] == "lines are missing" and got["r"]["error"] == "parent is no title"
+    assert len({m["id"] for m in got["e"]["members"]}) == 2 and got["e"]["problems"] == [] and [m["lines"] for m in got["e"]["members"]] == [["x"], ["y"]]
+    bare = layers.structure(ents, ln, spans.withColumn("spans", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (s["end"] + 3).alias("end"), F.lit("ADDR").alias("label"), s["score"].alias("score"))))).where("uuid = 'e'").first()
+    assert {p["message"] for p in bare["problems"]} == {"span ADDR lies across a brace", "member without SUBJ, own or inherited"}
+    told = layers.structure(ents, ln, spark.createDataFrame([("e", "<SUBJ>Un</SUBJ> { b")], "uuid string, tagged_text string")).where("uuid = 'e'").first()
+    assert told["error"] == "tagged text differs from its text"
     built = layers.line_pieces(ln.where("uuid = 'e'")).join(spans, "uuid")
     objects = layers.span_objects(built).orderBy("start").collect()
     assert objects[0]["text"] == "Un" and objects[0]["pieces"][0].asDict() == {"line": "x", "start": 1, "end": 3}
@@ -248,12 +253,14 @@ def test_jobs_from_pages_to_layers(spark, tmp_path):
     assert values(extracted.orderBy("pos"), "uid", "markdown") == [("1.1.1", "# TITRE"), ("1.2.1", "Abel, rue"), ("1.2.2", "du Bac, 12.")]
     guess = {"1.1.1": "B-TITLE", "1.2.1": "B-ENTRY", "1.2.2": "I-ENTRY"}
     labelled = extracted.withColumn("prediction", F.create_map(*[F.lit(x) for p in guess.items() for x in p])[F.col("uid")])
-    table = jobs.tabulate(labelled)
-    assert values(table.where("doubtful"), "uid") == ["1.2.1"]
-    built = jobs.assemble(table)
+    made = jobs.tabulate(labelled)
+    assert values(made.table.where("douteuse = 'oui'"), "uid") == ["1.2.1"] and made.problems.count() == made.patch.count() == 0
+    writes.write_csv(jobs.line_file(made.table), str(tmp_path / "t.csv"))
+    built = jobs.assemble(jobs.read_lines(spark, str(tmp_path / "t.csv")))
     assert set(values(built, "entity", "markdown")) == {("TITLE", "# TITRE"), ("ENTRY", "Abel, rue du Bac, 12.")}
-    assert [s["label"] for s in jobs.tag(built).first()["spans"]] == ["SUBJ", "ADDR"]
-    layer = jobs.publish(built, table)
+    tagged = jobs.tag(built)
+    assert [s["label"] for s in tagged.table.where("entity = 'ENTRY'").first()["spans"]] == ["SUBJ", "ADDR"]
+    layer = jobs.publish(jobs.tag_file(tagged.table), built, jobs.read_lines(spark, str(tmp_path / "t.csv")))
     assert layer.where("error is not null").count() == 0 and layer.count() == 2
     plan = writes.Plan(spark, apply=True)
     plan.table(str(tmp_path / "out.csv"), built.select("entity", "markdown").orderBy("entity"))
