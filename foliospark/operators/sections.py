@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliospark.functions.keys import ROOT
 from foliospark.functions.similarity import jaro_winkler
 from foliospark.functions.text import title_level
+from foliospark.operators import blocks
 from foliospark.operators.graph import components
 from foliospark.operators.sequence import align
 
@@ -31,22 +32,25 @@ def ancestors(entities: DataFrame, depth: int = 100) -> DataFrame:
     return rows.withColumn("s", F.coalesce(at(2), at(1))).select("document", "uuid", F.col("s.uuid").alias("section_uuid"), F.col("s.markdown").alias("section_markdown"))
 
 
-def continue_sections(records: DataFrame) -> DataFrame:
+def continue_sections(records: DataFrame, size: int = blocks.SIZE) -> DataFrame:
     """records (volume, order, section, section_uuid, section_inserted): one under a heading put in by hand with the key of the record before takes that one's section_uuid.
 
     What is taken is passed on, so a run takes the uuid it begins with.
     """
-    order = Window.partitionBy("volume").orderBy("order")
-    goes_on = F.col("section_inserted") & (F.coalesce(F.lag("section_uuid").over(order), F.lit("")) != "") & F.col("section").eqNullSafe(F.lag("section").over(order))
-    run = F.sum((~F.coalesce(goes_on, F.lit(False))).cast("int")).over(order)
-    return records.withColumn("__run", run).withColumn("section_uuid", F.first("section_uuid").over(Window.partitionBy("volume", "__run").orderBy("order"))).drop("__run")
+    met = blocks.lagged(records, ["volume"], "order", {"section_uuid": "__uuid", "section": "__section"}, size)
+    goes_on = F.col("section_inserted") & (F.coalesce("__uuid", F.lit("")) != "") & F.col("section").eqNullSafe(F.col("__section"))
+    met = blocks.running_sum(met, ["volume"], "order", (~F.coalesce(goes_on, F.lit(False))).cast("int"), "__run", size).drop("__uuid", "__section")
+    first = met.groupBy(F.col("volume").alias("__v"), F.col("__run").alias("__r")).agg(F.min_by("section_uuid", "order").alias("__first"))
+    out = met.join(first, F.col("volume").eqNullSafe(F.col("__v")) & (F.col("__run") == F.col("__r")))
+    return out.withColumn("section_uuid", F.col("__first")).select(*records.columns)
 
 
-def runs(records: DataFrame) -> DataFrame:
+def runs(records: DataFrame, size: int = blocks.SIZE) -> DataFrame:
     """Adds run, from 0: a new one wherever (section_uuid, section) changes."""
-    order = Window.partitionBy("volume").orderBy("order")
-    same = F.col("section_uuid").eqNullSafe(F.lag("section_uuid").over(order)) & F.col("section").eqNullSafe(F.lag("section").over(order))
-    return records.withColumn("run", F.sum((~same | (F.row_number().over(order) == 1)).cast("int")).over(order) - 1)
+    met = blocks.lagged(records.withColumn("__here", F.lit(True)), ["volume"], "order", {"section_uuid": "__uuid", "section": "__section", "__here": "__any"}, size)
+    same = F.col("section_uuid").eqNullSafe(F.col("__uuid")) & F.col("section").eqNullSafe(F.col("__section")) & F.col("__any").isNotNull()
+    out = blocks.running_sum(met, ["volume"], "order", (~same).cast("int"), "run", size)
+    return out.withColumn("run", F.col("run") - 1).drop("__uuid", "__section", "__any", "__here")
 
 
 def sections(records: DataFrame) -> DataFrame:

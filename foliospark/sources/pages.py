@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,7 +98,26 @@ def discover(spark: SparkSession, root: str, suffix: str, ranges: list[str] | No
 
 
 def number_records(records: DataFrame) -> DataFrame:
-    """records(volume, range_first, pos) with order from 0 over the whole volume."""
-    from pyspark.sql import Window
+    """records(volume, range_first, pos) with order from 0 over the whole volume: numbers of a range, after those of the ranges before."""
+    counts = records.groupBy("volume", "range_first").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("volume").orderBy("range_first").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("volume", "range_first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("volume", "range_first").orderBy("pos")) - 1
+    return records.withColumn("__own", own).join(counts, ["volume", "range_first"]).withColumn("order", F.col("__own") + F.col("__before")).drop("__own", "__before")
 
-    return records.withColumn("order", F.row_number().over(Window.partitionBy("volume").orderBy("range_first", "pos")) - 1)
+
+def read_records(entities: DataFrame, title_key, anchor) -> DataFrame:
+    """The ENTRY records of a volume, as alignment takes them, of entities (volume, range_first, pos, uuid, parent_uuid, entity, markdown, tagged_text, page).
+
+    section and its title are those of the nearest heading, text and subject those without tags; order runs over all
+    ranges. title_key, anchor: column functions that make a section's key and a text's plain form.
+    """
+    titles = entities.where(F.col("entity") == "TITLE").select("volume", F.col("uuid").alias("parent_uuid"), F.col("markdown").alias("section_title"))
+    rows = number_records(entities.where(F.col("entity") == "ENTRY")).join(titles, ["volume", "parent_uuid"], "left")
+    title = F.coalesce("section_title", F.lit(""))
+    return rows.select("volume", "order", "uuid", F.col("parent_uuid").alias("section_uuid"), title.alias("section_title"), title_key(title).alias("section"), anchor(F.col("tagged_text")).alias("text"), "markdown", "tagged_text", "page")
+
+
+def repeated_uuids(records: DataFrame) -> DataFrame:
+    """volume, uuid, times of those that stand in several records: links can't tell these apart."""
+    return records.groupBy("volume", "uuid").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") > 1)
