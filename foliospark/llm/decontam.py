@@ -33,6 +33,8 @@ WINDOW = 13
 BLOCK_WORDS = 100_000
 #: Bytes of packed automata that a worker keeps between batches; those beyond are loaded anew for each batch.
 RESIDENT = 128 << 20
+#: Blocks up to which it is cheaper to look each word up in each of them.
+FEW = 2
 RESULT = "struct<n_words:bigint,n_hit:bigint,longest:int,spans:array<struct<start:int,stop:int>>,items:array<string>>"
 _FILTER_BITS = 22
 
@@ -132,24 +134,28 @@ class Block:
 
     def runs(self, ids: np.ndarray):
         """Stretches of words that may hold a window: neighbours all occur as pairs, and there are enough of them."""
-        if not len(ids):
+        known = np.flatnonzero(ids >= 0)
+        if not len(known):
             return
-        known = ids >= 0
-        joined = known[:-1] & known[1:] & self.pairs[self._slot(ids[:-1], ids[1:])]
-        edges = np.flatnonzero(np.diff(np.concatenate(([False], joined, [False])).astype(np.int8)))
+        # known words whose next word is known too, and stands behind it in an item
+        first = known[:-1][np.diff(known) == 1]
+        first = first[self.pairs[self._slot(ids[first].astype(np.int64), ids[first + 1].astype(np.int64))]]
         if self.shortest == 1:
-            alone = known.copy()
-            alone[:-1] &= ~joined
-            alone[1:] &= ~joined
-            yield from ((int(i), int(i) + 1) for i in np.flatnonzero(alone))
-        for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-            if stop - start + 1 >= self.shortest:
-                yield start, stop + 1
-
-    def number(self, places: dict[bytes, int], at: np.ndarray) -> np.ndarray:
+            alone = np.setdiff1d(known, np.concatenate((first, first + 1)), assume_unique=False)
+            yield from ((int(i), int(i) + 1) for i in alone)
+        if not len(first):
+            return
+        breaks = np.flatnonzero(np.diff(first) > 1)
+        starts, stops = first[np.concatenate(([0], breaks + 1))], first[np.concatenate((breaks, [len(first) - 1]))] + 2
+        enough = stops - starts >= self.shortest
+        yield from zip(starts[enough].tolist(), stops[enough].tolist(), strict=True)
+
+    def number(self, words: list[bytes], places: dict[bytes, int] | None, at: np.ndarray | None) -> np.ndarray:
         """The block's own numbers of a text's words, -1 for unknown ones; places: the distinct words, at: which of them stands where."""
+        if places is None:
+            return np.fromiter(map(self.vocabulary.get, words, itertools.repeat(-1)), dtype=np.int32, count=len(words))
         met = list(places.keys() & self.vocabulary.keys())
-        own = np.full(len(places), -1, dtype=np.int64)
+        own = np.full(len(places), -1, dtype=np.int32)
         own[list(map(places.__getitem__, met))] = list(map(self.vocabulary.__getitem__, met))
         return own[at]
 
@@ -197,11 +203,13 @@ _BREAK = b"\x01"
 
 
 def scan_texts(texts: list[bytes], blocks) -> list[dict]:
-    """The result of each text against all blocks (an iterable)."""
+    """The result of each text against all blocks (which have a length). Of more than FEW, distinct words are numbered first."""
     words = (b" " + _BREAK + b" ").join([t.translate(_WORD_BYTES) for t in texts]).split() if texts else []
     breaks = [-1, *(i for i, w in enumerate(words) if w == _BREAK), len(words)] if len(texts) > 1 else [-1, len(words)]
-    places = {w: k for k, w in enumerate(dict.fromkeys(words))}
-    at = np.fromiter(map(places.__getitem__, words), dtype=np.int32, count=len(words))
+    places = at = None
+    if len(blocks) > FEW:
+        places = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        at = np.fromiter(map(places.__getitem__, words), dtype=np.int32, count=len(words))
     hit, longest = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int32)
     names: dict[int, set[str]] = {}
     starts = np.asarray(breaks[:-1]) + 1
@@ -210,7 +218,7 @@ def scan_texts(texts: list[bytes], blocks) -> list[dict]:
         names.setdefault(int(np.searchsorted(starts, i, side="right")) - 1, set()).update(got)
 
     for block in blocks:
-        block.scan(block.number(places, at), hit, longest, found)
+        block.scan(block.number(words, places, at), hit, longest, found)
     out, total = [], np.concatenate(([0], np.cumsum(hit)))
     for k in range(len(texts)):
         a, z = breaks[k] + 1, breaks[k + 1]
@@ -234,6 +242,9 @@ class Blocks:
         self.packed, self.name = packed, uuid.uuid4().hex
         self.kept = [total <= resident for total in itertools.accumulate(sizes)]
 
+    def __len__(self):
+        return len(self.packed)
+
     def parts(self, text: pa.Array):
         """The texts of a batch, some at a time if the automata are all at hand, else all at once."""
         for start, stop in chunks(text, 1 << 20 if all(self.kept) else 1 << 40):
