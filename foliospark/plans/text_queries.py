@@ -82,6 +82,17 @@ def all_features(spark, sf_dir):
     return FE.unpivot(f.select("document", "pos", "features"), ["italic", "uppercase", "alpha_order", "first_in_block", "char_length_log2", "shape_start_0"]).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+VALUES = ["is_heading", "starts_lower", "ends_punct", "token_count", "BOS", "EOS", "prev_end", "alpha_order", "first_in_block", "last_in_block", "last_char", "has_street_word", "has_number", "ends_with_number", "char_length_log2", "length_vs_prev", "first_word", "last_word", "next_is_heading", "uppercase"]
+
+
+def feature_values(spark, sf_dir):
+    """Features of each line, some of each kind."""
+    lines = keyed_lines(spark, sf_dir).withColumn("block", F.floor(F.col("pos") / 4).cast("string"))
+    groups = ["heading", "starts_lower", "ends_punct", "token_count", "sequence_bounds", "prev_line", "alpha_sequence", "block_position", "line_ending", "address_lexicon", "char_length", "lexical_words", "next_line", "uppercase"]
+    f = FE.with_features(lines, groups)
+    return f.select("document", "pos", *[F.try_element_at("features", F.lit(k)).alias(k.lower()) for k in VALUES])
+
+
 def containing_chunk(spark, sf_dir):
     """The first of four overlapping columns of a page that holds a box."""
     k = F.col("page_id")
@@ -217,7 +228,7 @@ def event_latest(spark, sf_dir):
     return sessions.latest(read(spark, sf_dir, "events", "ts", "user_id", "event_type"))
 
 
-QUERIES = {f.__name__: f for f in (suspicion, tagged_round_trip, span_pieces, title_keys, heading_guess, line_features, all_features, containing_chunk, html_blocks, entity_pieces, structure_layer, brace_members, document_layer, layer_problems, export_counts, tagging_metrics, nested_spans, labeller, learned_links, event_sessions, event_latest)}
+QUERIES = {f.__name__: f for f in (suspicion, tagged_round_trip, span_pieces, title_keys, heading_guess, line_features, feature_values, all_features, containing_chunk, html_blocks, entity_pieces, structure_layer, brace_members, document_layer, layer_problems, export_counts, tagging_metrics, nested_spans, labeller, learned_links, event_sessions, event_latest)}
 
 DOCUMENT_SQL = CLASSED_SQL + """,
 pages AS (SELECT document, CAST(unnest(range(0, max(pos) // 10 + 2)) AS INTEGER) AS page FROM classed GROUP BY document),
@@ -258,7 +269,39 @@ _BOTH_SQL = STRUCTURE_SQL + "," + DOCUMENT_SQL.split("AS text FROM classed0)", 1
 
 _ESCAPED = "replace(replace({}, '<', '&lt;'), '>', '&gt;')"
 
+_W = r"\p{L}\p{M}\p{N}_"
+#: Lines with their plain text: no heading signs, emphasis or blanks at the end.
+PLAIN_SQL = LINES_SQL + rf""",
+plain0 AS (SELECT *, regexp_replace(replace(regexp_replace(text, '^\s*#+\s*', ''), '*', ''), '(^|[^{_W}])_{{1,3}}', '\1', 'g') AS p0 FROM keyed),
+plain1 AS (SELECT *, regexp_replace(regexp_replace(p0, '_{{1,3}}($|[^{_W}])', '\1', 'g'), '\s+$', '') AS plain FROM plain0)"""
+
+
+def _kind(c: str) -> str:
+    return f"CASE WHEN {c} = '' THEN 'none' WHEN {c} LIKE '%.' THEN 'period' WHEN {c} LIKE '%-' THEN 'hyphen' WHEN regexp_matches({c}, '[—–]$') THEN 'dash' WHEN {c} LIKE '%,' THEN 'comma' WHEN regexp_matches({c}, '\\d$') THEN 'digit' WHEN regexp_matches({c}, '\\p{{Ll}}$') THEN 'lower' WHEN regexp_matches({c}, '\\p{{L}}$') THEN 'upper' ELSE 'other' END"
+
+
+def _flag(c: str) -> str:
+    return f"CASE WHEN {c} THEN 'True' ELSE 'False' END"
+
+
+_FOLD = "replace(replace(lower({0}), 'ß', 'ss'), 'ſ', 's')"
+
 SQL = {
+    "heading_guess": rf"""WITH {PLAIN_SQL},
+b AS (SELECT *, coalesce(lag(plain) OVER (PARTITION BY document ORDER BY pos), '') AS before FROM plain1),
+g AS (SELECT document, CASE WHEN starts_with(trim(text), '#') THEN 'B-TITLE' WHEN trim(plain) = '' OR regexp_matches(trim(plain), '^[-—_]{{3,}}$') THEN 'OUT OF SCOPE' WHEN regexp_matches(trim(plain), '^[\p{{Ll}}\-—]') THEN 'I-ENTRY' WHEN regexp_matches(before, '[-—]$') THEN 'I-ENTRY' ELSE 'B-ENTRY' END AS guess FROM b)
+SELECT document, count(*) AS lines, CAST(count_if(guess = 'B-TITLE') AS BIGINT) AS "B-TITLE", CAST(count_if(guess = 'I-ENTRY') AS BIGINT) AS "I-ENTRY", CAST(count_if(guess = 'B-ENTRY') AS BIGINT) AS "B-ENTRY", CAST(count_if(guess = 'OUT OF SCOPE') AS BIGINT) AS "OUT OF SCOPE" FROM g GROUP BY document""",
+    "feature_values": rf"""WITH {PLAIN_SQL},
+k AS (SELECT *, regexp_extract_all(plain, '[{_W}]+|[^{_W}\s]') AS t, regexp_extract_all(plain, '[\p{{L}}\p{{M}}]{{1,15}}') AS words, lower(strip_accents(regexp_extract(plain, '[\p{{L}}\p{{M}}]+'))) AS sort, length(plain) AS n, length(regexp_replace(plain, '[^\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(plain, '[^\p{{Lu}}]', '', 'g')) AS capitals FROM plain1),
+w AS (SELECT *, row_number() OVER o AS i, count(*) OVER (PARTITION BY document) AS total, lag(plain) OVER o AS prev, lag(sort) OVER o AS psort, lead(sort) OVER o AS nsort, lead(text) OVER o AS next, lag(n) OVER o AS pn, lag(pos // 4) OVER o AS pb, lead(pos // 4) OVER o AS nb FROM k WINDOW o AS (PARTITION BY document ORDER BY pos)),
+a AS (SELECT *, i > 1 AND psort <> '' AND sort < psort AS below, i < total AND nsort <> '' AND sort > nsort AS above FROM w)
+SELECT document, CAST(pos AS INTEGER) AS pos, {_flag("starts_with(text, '#')")} AS is_heading, {_flag(r"coalesce(regexp_matches(t[1], '\p{Ll}') AND NOT regexp_matches(t[1], '\p{Lu}'), false)")} AS starts_lower, {_flag("coalesce(t[-1] IN (',', '.', '—', '-', '_'), false)")} AS ends_punct, CAST(least(len(t), 12) AS VARCHAR) AS token_count,
+  {_flag("i = 1")} AS bos, {_flag("i = total")} AS eos, CASE WHEN i > 1 THEN {_kind("prev")} END AS prev_end, CASE WHEN sort = '' THEN 'no_word' WHEN below AND above THEN 'out' WHEN below THEN 'before_prev' WHEN above THEN 'after_next' ELSE 'in_order' END AS alpha_order,
+  {_flag("i = 1 OR pos // 4 <> pb")} AS first_in_block, {_flag("i = total OR pos // 4 <> nb")} AS last_in_block, {_kind("plain")} AS last_char,
+  {_flag(r"regexp_matches(plain, '(?i)(^|[^" + _W + "])(rue|quai|place|faub|fg|boulevard|boul|bd|cour|passage|cloître|clo[iî]tre|marché|port|pont|carré|enclos|impasse|cul-de-sac|barrière|chaussée|montagne|vieille|neuve)($|[^" + _W + "])') OR regexp_matches(plain, '(?i)(^|[^" + _W + r"])(r|q|pl|f|pass)\.[" + _W + "]')")} AS has_street_word,
+  {_flag(r"regexp_matches(plain, '\d')")} AS has_number, {_flag(r"regexp_matches(plain, '\d+\s*[.,;]?$')")} AS ends_with_number, CAST(CAST(least(floor(log2(n + 1)), 8) AS INTEGER) AS VARCHAR) AS char_length_log2,
+  CASE WHEN i > 1 THEN CASE WHEN n / greatest(pn, 1) < 0.6 THEN 'shorter' WHEN n / greatest(pn, 1) > 1.6 THEN 'longer' ELSE 'similar' END END AS length_vs_prev, {_FOLD.format("words[1]")} AS first_word, {_FOLD.format("words[-1]")} AS last_word, CASE WHEN i < total THEN {_flag("starts_with(next, '#')")} END AS next_is_heading,
+  CASE WHEN letters = 0 THEN 'no_letters' WHEN capitals = 0 THEN 'low' WHEN capitals / letters >= 0.9 THEN 'all' WHEN capitals / letters >= 0.5 THEN 'mostly' WHEN capitals / letters >= 0.2 THEN 'mixed' ELSE 'low' END AS uppercase FROM a""",
     "suspicion": f"""WITH {SPANNED_SQL},
 s AS (SELECT id, text, spans, array_to_string(list_transform(spans, lambda s: s.label), ',') AS signature, CASE WHEN len(spans) = 0 THEN 0 ELSE list_min(list_transform(spans, lambda s: s.score)) END AS confidence,
   array_to_string(list_transform(list_filter(range(1, length(text) + 1), lambda i: len(list_filter(spans, lambda s: s.start < i AND i <= s."end")) = 0), lambda i: text[i]), '') AS rest FROM spanned)
