@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.operators import crf, features
@@ -50,6 +50,32 @@ def page_splits(lines: DataFrame, folds: int = 5) -> DataFrame:
     return lines.join(pages.withColumnRenamed("fold", "split"), ["document", "page"])
 
 
+def _score(frame: pd.DataFrame, kept: set[str], learn: np.ndarray, held: np.ndarray, e: Experiment, classes: list[str], rounds: int) -> tuple[list[int], list[list[float]]]:
+    """Rows that are held, and their marginals, by a model of the labelled rows to learn from; frame: sorted, with gold and features."""
+    rows = [{k: v for k, v in dict(f).items() if k in kept} for f in frame["features"]]
+    label = [y if ok and isinstance(y, str) else None for ok, y in zip(learn, frame["gold"], strict=True)]
+    documents = frame["document"].to_numpy()
+    starts = np.flatnonzero(np.concatenate(([True], documents[1:] != documents[:-1]))).tolist() if len(frame) else []
+    parts = list(zip(starts, [*starts[1:], len(frame)], strict=True))
+    runs = [run for a, z in parts for run in crf.labelled_runs(rows[a:z], label[a:z])]
+    model = crf.train(runs, e.c1, e.c2, rounds)
+    at, out = [], []
+    for a, z in parts:
+        if not held[a:z].any():
+            continue
+        p = np.zeros((z - a, len(classes)))
+        if model is None:
+            p[:, [classes.index(y) for y in {y for _, ys in runs for y in ys} if y in classes] or slice(None)] = 1.0
+        else:
+            own = [i for i, c in enumerate(model.classes) if c in classes]
+            p[:, [classes.index(model.classes[i]) for i in own]] = model.marginals(rows[a:z])[:, own]
+        p /= p.sum(axis=1, keepdims=True)
+        for k in np.flatnonzero(held[a:z]).tolist():
+            at.append(a + k)
+            out.append(p[k].tolist())
+    return at, out
+
+
 def cross_validate(lines: DataFrame, tried: list[Experiment], classes: list[str], rounds: int = crf.ROUNDS) -> DataFrame:
     """experiment, split, document, pos, gold, marginals of lines(document, pos, label, split, and what features read).
 
@@ -68,31 +94,39 @@ def cross_validate(lines: DataFrame, tried: list[Experiment], classes: list[str]
         name, split = key
         e, frame = of[name], frame.sort_values(["document", "pos"])
         kept = set().union(*[keys[g] for g in e.groups])
-        rows = [{k: v for k, v in dict(f).items() if k in kept} for f in frame["features"]]
         held = (frame["own"] == split).to_numpy()
-        label = [None if h or not isinstance(y, str) else y for h, y in zip(held, frame["gold"], strict=True)]
-        runs, scored = [], []
-        starts = np.flatnonzero(np.concatenate(([True], frame["document"].to_numpy()[1:] != frame["document"].to_numpy()[:-1]))).tolist()
-        for a, z in zip(starts, [*starts[1:], len(frame)], strict=True):
-            runs += crf.labelled_runs(rows[a:z], label[a:z])
-        model = crf.train(runs, e.c1, e.c2, rounds)
-        for a, z in zip(starts, [*starts[1:], len(frame)], strict=True):
-            if not held[a:z].any():
-                continue
-            p = np.zeros((z - a, len(classes)))
-            if model is None:
-                p[:, [classes.index(y) for y in {y for _, ys in runs for y in ys} if y in classes] or slice(None)] = 1.0
-            else:
-                own = [i for i, c in enumerate(model.classes) if c in classes]
-                p[:, [classes.index(model.classes[i]) for i in own]] = model.marginals(rows[a:z])[:, own]
-            p /= p.sum(axis=1, keepdims=True)
-            scored += [(k, p[k - a].tolist()) for k in range(a, z) if held[k]]
-        at = [k for k, _ in scored]
-        return pd.DataFrame({"experiment": [name] * len(at), "split": [int(split)] * len(at), "document": frame["document"].to_numpy()[at], "pos": frame["pos"].to_numpy()[at].astype("int64"), "gold": frame["gold"].to_numpy()[at], "marginals": [p for _, p in scored]})
+        at, marginals = _score(frame, kept, ~held, held, e, classes, rounds)
+        return pd.DataFrame({"experiment": [name] * len(at), "split": [int(split)] * len(at), "document": frame["document"].to_numpy()[at], "pos": frame["pos"].to_numpy()[at].astype("int64"), "gold": frame["gold"].to_numpy()[at], "marginals": marginals})
 
     return dealt.groupBy("experiment", "__split").applyInPandas(work, "experiment string, split int, document string, pos long, gold string, marginals array<double>")
 
 
+def learning_runs(lines: DataFrame, budgets: list[int], seeds: int, classes: list[str], groups: tuple[str, ...] | None = None, rounds: int = crf.ROUNDS) -> DataFrame:
+    """budget, seed, lines, f1: accuracy on the lines that a model which learned from so many pages, drawn by a seed, hasn't seen.
+
+    lines: document, page, pos, label and what features read. Each (budget, seed) is one grouped-map task.
+    """
+    e = Experiment("curve", "curve", groups or tuple(features.group_names("production")))
+    kept = {k for g in e.groups for k in features.keys_of(g)}
+    pages = lines.select("document", "page").distinct().withColumn("seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
+    order = Window.partitionBy("seed").orderBy(F.md5(F.concat_ws("#", F.col("seed").cast("string"), "document", F.col("page").cast("string")).cast("binary")), "document", "page")
+    drawn = pages.withColumn("turn", F.row_number().over(order))
+    whole = features.with_features(lines, list(e.groups)).select("document", "page", "pos", F.col("label").alias("gold"), "features")
+    dealt = whole.join(drawn, ["document", "page"]).withColumn("budget", F.explode(F.array(*[F.lit(b) for b in budgets])))
+
+    def work(key, frame: pd.DataFrame) -> pd.DataFrame:
+        budget, seed = key
+        frame = frame.sort_values(["document", "pos"])
+        learn = (frame["turn"] <= budget).to_numpy()
+        held = ~learn & frame["gold"].notna().to_numpy()
+        at, marginals = _score(frame, kept, learn, held, e, classes, rounds)
+        gold = frame["gold"].to_numpy()[at]
+        right = sum(classes[int(np.argmax(p))] == y for p, y in zip(marginals, gold, strict=True))
+        return pd.DataFrame({"budget": [int(budget)], "seed": [int(seed)], "lines": [len(at)], "f1": [right / len(at) if at else 0.0]})
+
+    return dealt.groupBy("budget", "seed").applyInPandas(work, "budget int, seed int, lines long, f1 double")
+
+
 def scored_lines(found: DataFrame, classes: list[str], marginals: str = "marginals") -> DataFrame:
     """found with predicted, confidence (the largest marginal) and margin (over the second); the first class wins a tie."""
     p = F.col(marginals)

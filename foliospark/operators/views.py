@@ -83,3 +83,17 @@ def section_table(records: DataFrame, links: DataFrame) -> DataFrame:
     ends = links.where(F.coalesce("source", F.lit("")) != CANDIDATE).select(F.explode(F.array(F.struct(F.lit("left").alias("side"), F.col("left_uuid").alias("uuid")), F.struct(F.lit("right").alias("side"), F.col("right_uuid").alias("uuid")))).alias("e")).select("e.*").distinct().withColumn("__m", F.lit(1))
     met = records.join(ends, ["side", "uuid"], "left").groupBy("side", "section").agg(F.count(F.lit(1)).alias("entries"), F.count("__m").alias("matched"))
     return met.withColumn("rate", F.col("matched") / F.col("entries"))
+
+
+def section_kpis(table: DataFrame) -> DataFrame:
+    """side, sections, sections without a link, entries, matched, rate: a section table summed up."""
+    out = table.groupBy("side").agg(F.count(F.lit(1)).alias("sections"), F.count_if(F.col("matched") == 0).alias("without"), F.sum("entries").alias("entries"), F.sum("matched").alias("matched"))
+    return out.withColumn("rate", F.col("matched") / F.col("entries"))
+
+
+def group_table(records: DataFrame, links: DataFrame, groups: DataFrame) -> DataFrame:
+    """group, and of either side entries, matched and rate, of records (side, uuid, section) in groups (group, side, section)."""
+    table = section_table(records, links).join(groups, ["side", "section"])
+    of = lambda side, c: F.coalesce(F.sum(F.when(F.col("side") == side, F.col(c))), F.lit(0))
+    out = table.groupBy("group").agg(*[of(side, c).alias(f"{side}_{c}") for side in ("left", "right") for c in ("entries", "matched")])
+    return out.select("group", *[x for side in ("left", "right") for x in (f"{side}_entries", f"{side}_matched", F.when(F.col(f"{side}_entries") > 0, F.col(f"{side}_matched") / F.col(f"{side}_entries")).alias(f"{side}_rate"))])

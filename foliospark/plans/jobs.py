@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from foliospark.functions.keys import with_line_keys
 from foliospark.functions.spans import LABELS, confidence_of, count_label, parsed, reasons_of, rendered
 from foliospark.functions.text import decimal_comma, strip, title_text
-from foliospark.operators import alignment, corpus, entities, evaluation, layers, linking, links, overlay, reports, sampling, stats, tagging, views
+from foliospark.operators import alignment, corpus, entities, evaluation, layers, linking, links, overlay, reports, sampling, sections, stats, tagging, views
 from foliospark.operators.extraction import page_lines
 from foliospark.operators.lines import DOUBT, doubtful, known_class, lowest_score
 from foliospark.sources import pages as source
@@ -160,6 +160,14 @@ def patched(found: DataFrame, left: DataFrame, right: DataFrame, patch: DataFram
     return keep(links.apply_patch(found, patch)) if patch is not None else found
 
 
+def pair_sections(left: DataFrame, right: DataFrame, patch: DataFrame | None = None, threshold: float = sections.THRESHOLD) -> DataFrame:
+    """left_section, right_section (uuids), source: sections of records (volume, order, section, section_uuid) of two editions, paired by a patch and by their keys."""
+    both = [sections.sections(df).withColumn("pair", F.lit("p")) for df in (left, right)]
+    met = sections.align_pair(*both, patch, threshold)
+    named = [df.select(F.col("run").alias(f"{side}_run"), F.col("section_uuid").alias(f"{side}_section")) for df, side in zip(both, ("left", "right"), strict=True)]
+    return met.join(named[0], "left_run").join(named[1], "right_run").select("left_section", "right_section", "source").distinct()
+
+
 def dedupe(left: DataFrame, right: DataFrame, training: DataFrame, patch: DataFrame | None = None, corresponding: DataFrame | None = None, threshold: float = linking.THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Learned links before and after a patch. training: left_uuid, right_uuid, match (1 or 0) of pairs that people judged."""
     pairs = linking.compared(left, right)
@@ -275,6 +283,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--ocr", help="the OCR pages, for the document layer")
     p.add_argument("--volume", default="")
     p.add_argument("--ranges", nargs="*", default=[])
+    p = step("sections", "two tables of records to pairs of sections", "left", "right", "target")
+    p.add_argument("--patch", help="hand-made pairs of sections")
+    p.add_argument("--threshold", type=float, default=sections.THRESHOLD)
     for name, what in (("align", "two tables of records to links"), ("dedupe", "two tables of records to learned links")):
         p = step(name, what, "left", "right", "target")
         p.add_argument("--patch")
@@ -371,6 +382,12 @@ def main(args: list[str]) -> int:
             counts = layers.export_counts(document, structure).first().asDict()
             odd = structure.select("uuid", F.explode("problems").alias("p")).select(F.concat_ws(" ", "uuid", "p.message")).limit(10_000)
             plan.text(a.target + ".report.txt", reports.counted_report(a.volume, counts, {"Brace groups to look at": [r[0] for r in odd.collect()]}))
+    elif a.step == "sections":
+        patch = source.read_patch(spark, a.patch, ["left_uuid", "right_uuid", "left_title", "right_title", "note"]) if a.patch else None
+        if patch is not None:
+            plan.check("patch", links.validate_sections(patch))
+        found = pair_sections(spark.read.parquet(a.left), spark.read.parquet(a.right), patch, a.threshold)
+        plan.table(a.target, found.orderBy("left_section", "right_section"))
     elif a.step in ("align", "dedupe", "join"):
         left, right = spark.read.parquet(a.left), spark.read.parquet(a.right)
         patch = _entry_patch(spark, plan, a, left, right)

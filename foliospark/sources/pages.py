@@ -79,6 +79,21 @@ def page_range(name: str) -> tuple[int, int]:
     return int(m[1]), int(m[2])
 
 
+def pair_name(left: str, right: str) -> str:
+    """The name of a pair of volumes, as its files bear it."""
+    if "__" in left or "__" in right:
+        raise ValueError("a volume's name can't hold two underscores")
+    return f"{left}__{right}"
+
+
+def parse_pair(path: str) -> tuple[str, str, str]:
+    """Left volume, right volume and suffix of the file of a pair: <left>__<right>.<suffix>; ValueError for any other."""
+    m = re.fullmatch(r"(?:.*/)?([^/]+?)__([^/_](?:[^/]*?))((?:\.[A-Za-z-]+)+)", path)
+    if not m or "__" in m[2]:
+        raise ValueError(f"no file of a pair of volumes: {path!r}")
+    return m[1], m[2], m[3]
+
+
 def discover(spark: SparkSession, root: str, suffix: str, ranges: list[str] | None = None) -> DataFrame:
     """volume, range_name, first, last, path of the step files <root>/<volume>/<a>-<b>/...<suffix>, a <= b, a >= 1, in order.
 

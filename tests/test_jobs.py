@@ -191,6 +191,30 @@ def test_audit_of_lines(spark):
     assert len(names) == len(set(names)) and "only heading" in names and "c1=0.1 c2=0.1" in names
 
 
+def test_learning_curve(spark):
+    lines = spark.createDataFrame([("a", p, p // 4, ("# " if p % 4 == 0 else "") + "abc"[p % 3] * 3, "B-TITLE" if p % 4 == 0 else "B-ENTRY") for p in range(40)], "document string, pos long, page int, text string, label string")
+    runs = evaluation.learning_runs(lines, [1, 4], 2, ["B-ENTRY", "B-TITLE"], ("bias", "heading"), rounds=20).collect()
+    assert sorted((r["budget"], r["seed"], r["lines"]) for r in runs) == [(1, 1, 36), (1, 2, 36), (4, 1, 24), (4, 2, 24)] and all(r["f1"] == 1.0 for r in runs if r["budget"] == 4)
+
+
+def test_pairs_of_sections(spark, tmp_path, capsys):
+    side = lambda v, names: spark.createDataFrame([(v, k, s, f"{v}{k}") for k, s in enumerate(names)], "volume string, order int, section string, section_uuid string")
+    side("l", ["arts", "bois", "vins"]).write.parquet(str(tmp_path / "l"))
+    side("r", ["arts", "boulangers", "vins"]).write.parquet(str(tmp_path / "r"))
+    at = lambda *x: [str(tmp_path / n) for n in x]
+    (tmp_path / "s.csv").write_text("left_uuid,right_uuid,left_title,right_title,note\nl1,r1,,,\n")
+    assert jobs.main(["sections", *at("l", "r", "out.csv"), "--patch", *at("s.csv"), "--apply"]) == 0
+    assert [(r["left_section"], r["right_section"], r["source"]) for r in table(tmp_path / "out.csv")] == [("l0", "r0", "auto"), ("l1", "r1", "manual"), ("l2", "r2", "auto")]
+    (tmp_path / "s.csv").write_text("left_uuid,right_uuid,left_title,right_title,note\nl1,r1,,,\nl1,r1,,,\n")
+    assert jobs.main(["sections", *at("l", "r", "out.csv"), "--patch", *at("s.csv"), "--apply"]) == 1
+    assert pages.parse_pair("x/1807_A__1808_B.nw.csv") == ("1807_A", "1808_B", ".nw.csv") and pages.pair_name("a", "b") == "a__b"
+    for bad in ("a.csv", "a__b__c.csv", "a__b"):
+        with pytest.raises(ValueError):
+            pages.parse_pair(bad)
+    with pytest.raises(ValueError):
+        pages.pair_name("a__b", "c")
+
+
 def test_train_set_and_reports(spark):
     span = lambda label: [(0, 1, label, None)]
     rows = spark.createDataFrame([(1, "a", span("SUBJ"), None), (2, "a", None, span("SUBJ")), (3, "b", None, span("ADDR")), (4, "gold", None, span("SUBJ"))], f"id int, text string, curated {layers.SPAN}, model {layers.SPAN}")
