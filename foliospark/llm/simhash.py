@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import as_bytes, bounded_batches, by_name, fresh, materialize, scratch, table
+from foliospark.llm.common import as_bytes, bounded_batches, by_name, discard, fresh, materialize, scratch, table
 from foliospark.llm.components import components
 
 SEED = 42
@@ -301,14 +301,14 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     id may be several. A component gets its name, the smallest id of all its rows, once it is known.
     """
     bounded_batches(docs.sparkSession)
-    prints = materialize(docs.select(by_name(docs, key).cast("long").alias("id"), fingerprint(by_name(docs, text), width)[0].alias("print")), "prints")
-    nodes = materialize(prints.groupBy("print").agg(F.min("id").alias("id")), "vertices")
-    edges = link_edges(nodes.select(F.col("print").alias("id"), F.array("print").alias("prints")), exact_masks(radius, nodes.count()), radius)
-    roots = components(edges)
-    rooted = materialize(nodes.join(roots, nodes["print"] == roots["node"], "left").select("print", "id", F.coalesce("root", "print").alias("root")), "rooted")
-    names = materialize(rooted.groupBy("root").agg(F.min("id").alias("component")), "names")
-    # tables of their own, so that the joins have plain shuffles, and Spark can split a large component or fingerprint
-    placed = materialize(rooted.select("print", "root").join(names, "root").select("print", "component"), "placed")
+    with scratch() as keep:
+        prints = keep(materialize(docs.select(by_name(docs, key).cast("long").alias("id"), fingerprint(by_name(docs, text), width)[0].alias("print")), "prints"))
+        nodes = materialize(prints.groupBy("print").agg(F.min("id").alias("id")), "vertices")
+        roots = components(link_edges(nodes.select(F.col("print").alias("id"), F.array("print").alias("prints")), exact_masks(radius, nodes.count()), radius))
+        rooted = materialize(nodes.join(roots, nodes["print"] == roots["node"], "left").select("print", "id", F.coalesce("root", "print").alias("root")), "rooted")
+        names = materialize(rooted.groupBy("root").agg(F.min("id").alias("component")), "names")
+        # tables of their own, so that the joins have plain shuffles, and Spark can split a large component or fingerprint
+        placed = keep(materialize(rooted.select("print", "root").join(names, "root").select("print", "component"), "placed"))
     return prints.join(placed, "print")
 
 
@@ -526,6 +526,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", s
         grouped = nodes.select("node", "last", "id", "tie").join(roots, "node", "left")
         kept = grouped.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min(F.struct("last", "id", "tie")).alias("first"))
         kept = keep(materialize(kept.select("first.id", "first.tie"), "kept"))
+    discard(nodes)
     id_name, tie_name, own_id, own_tie = (fresh(docs, base=b) for b in ("kept_id", "kept_tie", "id", "tie"))
     kept = kept.select(F.col("id").alias(id_name), F.col("tie").alias(tie_name))
     marked = docs.withColumns({own_id: own, own_tie: tie})
