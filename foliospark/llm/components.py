@@ -29,12 +29,18 @@ def components(edges: DataFrame, tag: str = "components", rounds: int = 60) -> D
             small = small.select("u", F.col("m").alias("v")).unionByName(small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
             stars = materialize(small, tag, n)
             now = _state(stars)
-            if now == seen:
+            if now == seen or _settled(stars):
                 return keep(stars).select(F.col("u").alias("node"), F.col("v").alias("root"))
             seen = now
     raise RuntimeError("the components did not settle")
 
 
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node has one root, which has none itself: as edges lead to smaller nodes, these are the smallest."""
+    ends = stars.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(stars.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1))).isEmpty()
+
+
 def _state(edges: DataFrame) -> tuple:
     """Count and order-free checksum."""
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
