@@ -31,6 +31,11 @@ class Labeller:
     def marginals(self, lines: list[dict[str, str]]) -> np.ndarray:
         return _expect(self.emissions(lines), self.moves)[0] if lines else np.zeros((0, len(self.classes)))
 
+    def pruned(self) -> Labeller:
+        """The same without features of no weight."""
+        names, used = list(self.features), np.flatnonzero(self.state.any(axis=1))
+        return Labeller([names[i] for i in used], self.classes, self.state[used], self.moves)
+
     def dump(self) -> str:
         return json.dumps({"features": list(self.features), "classes": self.classes, "state": self.state.tolist(), "moves": self.moves.tolist()})
 
@@ -59,29 +64,94 @@ def _expect(e: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
     return np.exp(f + b - z), pairs, z
 
 
+class Packed:
+    """Runs of numbered lines side by side: line t of all runs that have one, longest runs first, then line t + 1."""
+
+    def __init__(self, runs: list[list[int]]):
+        lengths = np.array([len(r) for r in runs], dtype=np.int64)
+        self.order = np.argsort(-lengths, kind="stable")
+        self.lengths = lengths[self.order]
+        self.active = (len(runs) - np.cumsum(np.bincount(lengths, minlength=1)))[: int(lengths.max(initial=0))]
+        self.starts = np.concatenate(([0], np.cumsum(self.active)))
+        rank = np.empty(len(runs), dtype=np.int64)
+        rank[self.order] = np.arange(len(runs))
+        owner = np.repeat(np.arange(len(runs)), lengths)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        #: Where line after line of run after run, as they were given, stands.
+        self.at = self.starts[place] + rank[owner]
+        self.owner = np.empty(len(owner), dtype=np.int64)
+        self.owner[self.at] = owner
+        self.lines = self.put(np.array([x for r in runs for x in r], dtype=np.int64))
+
+    def put(self, values: np.ndarray) -> np.ndarray:
+        out = np.empty_like(values)
+        out[self.at] = values
+        return out
+
+    def expect(self, e: np.ndarray, moves: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Marginals of each line, expected moves of all runs, as often as they count, and the log of each run's partition sum, as given.
+
+        Each step is scaled to a sum of 1, so it takes one product instead of logarithms of sums.
+        """
+        n, k = e.shape
+        top, shift = e.max(axis=1, keepdims=True, initial=-np.inf), moves.max()
+        x, m = np.exp(e - top), np.exp(moves - shift)
+        f, scale, b = np.empty((n, k)), np.empty((n, 1)), np.ones((n, k))
+        pairs, weight = np.zeros((k, k)), counts[self.order][:, None]
+        steps = [slice(int(s), int(s + a)) for s, a in zip(self.starts, self.active)]
+        for t, own in enumerate(steps):
+            raw = x[own] if t == 0 else x[own] * (f[steps[t - 1]][: self.active[t]] @ m)
+            scale[own] = raw.sum(axis=1, keepdims=True)
+            f[own] = raw / scale[own]
+        for t in range(len(steps) - 2, -1, -1):
+            own, then, a = steps[t], steps[t + 1], self.active[t + 1]
+            ahead = x[then] * b[then] / scale[then]
+            b[own][:a] = ahead @ m.T
+            pairs += m * (f[own][:a].T @ (ahead * weight[:a]))
+        z = np.bincount(self.owner, weights=(np.log(scale) + top).ravel(), minlength=len(self.order)) + shift * np.maximum(np.bincount(self.owner, minlength=len(self.order)) - 1, 0)
+        return f * b, pairs, z
+
+
 def train(sequences: list[tuple[list[dict[str, str]], list[str]]], c1: float = C1, c2: float = C2, rounds: int = ROUNDS) -> Labeller | None:
     """Penalised likelihood (c1 on absolute values, c2 on squares) by orthant-wise quasi-Newton steps; None with fewer than two classes."""
-    classes = sorted({y for _, ys in sequences for y in ys})
+    return train_runs([([[f"{k}={v}" for k, v in line.items()] for line in lines], ys, 1) for lines, ys in sequences], c1, c2, rounds)
+
+
+def train_runs(runs: list[tuple[list[list[str]], list[str], int]], c1: float = C1, c2: float = C2, rounds: int = ROUNDS) -> Labeller | None:
+    """The same from runs (the features of each line, labels, how often there is this run); equal runs and equal lines are computed once."""
+    classes = sorted({y for _, ys, _ in runs for y in ys})
     if len(classes) < 2:
         return None
-    names = sorted({f"{k}={v}" for lines, _ in sequences for line in lines for k, v in line.items()})
+    names = sorted({f for lines, _, _ in runs for line in lines for f in line})
     at, of = {f: i for i, f in enumerate(names)}, {c: i for i, c in enumerate(classes)}
     nf, k = len(names), len(classes)
-    data = [([[at[f"{a}={b}"] for a, b in line.items()] for line in lines], np.array([of[y] for y in ys])) for lines, ys in sequences if ys]
+    kinds: dict[tuple[str, ...], int] = {}
+    found: dict[tuple, int] = {}
+    for lines, ys, n in runs:
+        if ys:
+            key = tuple(kinds.setdefault(tuple(line), len(kinds)) for line in lines), tuple(of[y] for y in ys)
+            found[key] = found.get(key, 0) + n
+    packed, counts = Packed([r for r, _ in found]), np.array(list(found.values()), dtype=float)
+    y = packed.put(np.array([c for _, ys in found for c in ys], dtype=np.int64))
+    weight = counts[packed.owner]
+    flat = np.array([at[f] for line in kinds for f in line], dtype=np.int64)
+    owner = np.repeat(np.arange(len(kinds)), [len(line) for line in kinds])
+    # what is told of lines and moves, as often as it counts
+    told = np.bincount(packed.lines * k + y, weights=weight, minlength=len(kinds) * k).reshape(-1, k)
+    went, starts = np.zeros((k, k)), packed.starts
+    for t in range(1, len(packed.active)):
+        then = slice(starts[t], starts[t] + packed.active[t])
+        before = y[starts[t - 1] : starts[t - 1] + packed.active[t]]
+        went += np.bincount(before * k + y[then], weights=weight[then], minlength=k * k).reshape(k, k)
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         state, moves = w[: nf * k].reshape(nf, k), w[nf * k :].reshape(k, k)
-        value, g_state, g_moves = 0.0, np.zeros((nf, k)), np.zeros((k, k))
-        for rows, y in data:
-            e = np.array([state[r].sum(axis=0) for r in rows])
-            p, pairs, z = _expect(e, moves)
-            value += z - e[np.arange(len(y)), y].sum() - moves[y[:-1], y[1:]].sum()
-            p[np.arange(len(y)), y] -= 1
-            for r, row in zip(rows, p, strict=True):
-                g_state[r] += row
-            g_moves += pairs
-            np.add.at(g_moves, (y[:-1], y[1:]), -1)
-        return value + c2 * (w @ w), np.concatenate([g_state.ravel(), g_moves.ravel()]) + 2 * c2 * w
+        of_kind = np.stack([np.bincount(owner, weights=state[flat, c], minlength=len(kinds)) for c in range(k)], axis=1)
+        p, pairs, z = packed.expect(of_kind[packed.lines], moves, counts)
+        value = float(counts @ z - (told * of_kind).sum() - (went * moves).sum())
+        rest = np.stack([np.bincount(packed.lines, weights=p[:, c] * weight, minlength=len(kinds)) for c in range(k)], axis=1) - told
+        g_state = np.stack([np.bincount(flat, weights=rest[owner, c], minlength=nf) for c in range(k)], axis=1)
+        return value + c2 * (w @ w), np.concatenate([g_state.ravel(), (pairs - went).ravel()]) + 2 * c2 * w
 
     w = np.zeros(nf * k + k * k)
     value, g = loss(w)

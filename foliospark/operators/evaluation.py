@@ -1,11 +1,13 @@
 """Cross-validated evaluation of the line labeller: splits, experiments, scored lines, noise floor, choice of groups.
 
-An experiment is a set of feature groups. Each (experiment, split) is one grouped-map task that learns from the training
-lines of its split and scores the others, so experiments spread over the cluster; every line is scored once in each.
+An experiment is a set of feature groups. Each (experiment, split) is one grouped-map task that learns from the distinct
+runs of its split; lines are scored where their documents lie. Every line is scored once in each experiment.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -76,29 +78,121 @@ def _score(frame: pd.DataFrame, kept: set[str], learn: np.ndarray, held: np.ndar
     return at, out
 
 
+#: Runs that a task counts before it hands them on.
+HELD_RUNS = 50_000
+
+
+def _documents(lines: DataFrame, tried: list[Experiment]) -> DataFrame:
+    """document, lines: its lines in order, with the features that each experiment reads."""
+    groups = list(dict.fromkeys(g for e in tried for g in e.groups))
+    kept = [F.array(*[F.lit(k) for k in sorted({k for g in e.groups for k in features.keys_of(g)})]) for e in tried]
+    own = lambda keys: F.transform(F.array_sort(F.map_entries(F.map_filter("features", lambda k, _: F.array_contains(keys, k)))), lambda x: F.concat(x["key"], F.lit("="), x["value"]))
+    whole = features.with_features(lines, groups)
+    line = F.struct(F.col("pos").cast("long").alias("pos"), F.col("split").cast("int").alias("own"), F.col("label").alias("gold"), F.array(*[own(k) for k in kept]).alias("kinds"))
+    return whole.groupBy("document").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+
+
+def _runs(tried: list[Experiment], splits: list[int]):
+    """experiment, split, run, n: the labelled stretches of lines that a model learns from, equal ones counted together."""
+
+    def frame(found: Counter) -> pd.DataFrame:
+        rows = [(e, s, run, n) for (e, s, run), n in found.items()]
+        return pd.DataFrame(rows, columns=["experiment", "split", "run", "n"])
+
+    def work(batches):
+        found: Counter = Counter()
+        for batch in batches:
+            for lines in batch["lines"]:
+                own, gold = [x["own"] for x in lines], [x["gold"] for x in lines]
+                here = set(own)
+                for k, e in enumerate(tried):
+                    told = [json.dumps([list(x["kinds"][k]), y]) if y is not None else None for x, y in zip(lines, gold, strict=True)]
+                    for split in [*here, None]:
+                        texts, run = [], []
+                        for s, t in [*zip(own, told, strict=True), (None, None)]:
+                            if t is not None and (split is None or s != split):
+                                run.append(t)
+                            elif run:
+                                texts.append("[" + ",".join(run) + "]")
+                                run = []
+                        for s in [split] if split is not None else [s for s in splits if s not in here]:
+                            found.update((e.name, s, t) for t in texts)
+            if len(found) > HELD_RUNS:
+                yield frame(found)
+                found = Counter()
+        yield frame(found)
+
+    return work
+
+
+def _marginals(tried: list[Experiment], models: dict[tuple[str, int], tuple[crf.Labeller | None, list[str]]], classes: list[str]):
+    """A row for each line and experiment, scored by the model that hasn't seen its split; equal documents of a batch are computed once."""
+
+    def scored(model: crf.Labeller | None, seen: list[str], sequences: list[tuple[tuple[str, ...], ...]]) -> list[np.ndarray]:
+        if model is None:
+            one = np.zeros(len(classes))
+            one[[classes.index(y) for y in seen if y in classes] or slice(None)] = 1.0
+            return [np.tile(one / one.sum(), (len(s), 1)) for s in sequences]
+        kinds: dict[tuple[str, ...], int] = {}
+        packed = crf.Packed([[kinds.setdefault(line, len(kinds)) for line in s] for s in sequences])
+        e = np.array([model.state[[model.features[f] for f in line if f in model.features]].sum(axis=0) for line in kinds])
+        raw = packed.expect(e[packed.lines], model.moves, np.ones(len(sequences)))[0][packed.at]
+        own = [i for i, c in enumerate(model.classes) if c in classes]
+        p = np.zeros((len(raw), len(classes)))
+        p[:, [classes.index(model.classes[i]) for i in own]] = raw[:, own]
+        p /= p.sum(axis=1, keepdims=True)
+        return np.split(p, np.cumsum([len(s) for s in sequences])[:-1])
+
+    def work(batches):
+        for batch in batches:
+            for k, e in enumerate(tried):
+                wanted: dict[int, dict[tuple, list[int]]] = {}
+                rows = list(batch["lines"])
+                for d, lines in enumerate(rows):
+                    sequence = tuple(tuple(x["kinds"][k]) for x in lines)
+                    for split in {x["own"] for x in lines}:
+                        wanted.setdefault(split, {}).setdefault(sequence, []).append(d)
+                for split, of in wanted.items():
+                    out = {c: [] for c in ("document", "pos", "gold", "marginals")}
+                    for p, at in zip(scored(*models[e.name, split], list(of)), of.values(), strict=True):
+                        values = p.tolist()
+                        for d in at:
+                            held = [(x["pos"], x["gold"], v) for x, v in zip(rows[d], values, strict=True) if x["own"] == split]
+                            out["document"] += [batch["document"].iat[d]] * len(held)
+                            for c, v in zip(("pos", "gold", "marginals"), zip(*held), strict=True):
+                                out[c] += v
+                    yield pd.DataFrame({"experiment": e.name, "split": np.int32(split), "document": pd.Series(out["document"], dtype=object), "pos": np.array(out["pos"], dtype=np.int64), "gold": pd.Series(out["gold"], dtype=object), "marginals": out["marginals"]})
+
+    return work
+
+
 def cross_validate(lines: DataFrame, tried: list[Experiment], classes: list[str], rounds: int = crf.ROUNDS) -> DataFrame:
     """experiment, split, document, pos, gold, marginals of lines(document, pos, label, split, and what features read).
 
     A line is scored by a model that learned from the labelled lines of all other splits; contiguous ones are a sequence.
+    Documents are cut into runs where they lie, and equal runs are counted; a model is one task, which gets each distinct
+    run once. The models, learned when this is called, then go to the documents.
     """
     of = {e.name: e for e in tried}
     if len(of) != len(tried):
         raise ValueError("two experiments of one name")
-    groups = list(dict.fromkeys(g for e in tried for g in e.groups))
-    keys = {g: set(features.keys_of(g)) for g in groups}
-    whole = features.with_features(lines, groups).select("document", "pos", F.col("label").alias("gold"), F.col("split").alias("own"), "features")
-    splits = lines.select(F.col("split").alias("__split")).distinct()
-    dealt = whole.join(splits, F.lit(True)).withColumn("experiment", F.explode(F.array(*[F.lit(n) for n in of])))
-
-    def work(key, frame: pd.DataFrame) -> pd.DataFrame:
-        name, split = key
-        e, frame = of[name], frame.sort_values(["document", "pos"])
-        kept = set().union(*[keys[g] for g in e.groups])
-        held = (frame["own"] == split).to_numpy()
-        at, marginals = _score(frame, kept, ~held, held, e, classes, rounds)
-        return pd.DataFrame({"experiment": [name] * len(at), "split": [int(split)] * len(at), "document": frame["document"].to_numpy()[at], "pos": frame["pos"].to_numpy()[at].astype("int64"), "gold": frame["gold"].to_numpy()[at], "marginals": marginals})
-
-    return dealt.groupBy("experiment", "__split").applyInPandas(work, "experiment string, split int, document string, pos long, gold string, marginals array<double>")
+    documents = _documents(lines, tried).persist()
+    splits = sorted(r[0] for r in documents.select(F.explode(F.array_distinct("lines.own"))).distinct().collect())
+    runs = documents.mapInPandas(_runs(tried, splits), "experiment string, split int, run string, n long").groupBy("experiment", "split", "run").agg(F.sum("n").alias("n"))
+
+    def learn(key, frame: pd.DataFrame) -> pd.DataFrame:
+        e, data = of[key[0]], []
+        for run, n in zip(frame["run"], frame["n"], strict=True):
+            read = json.loads(run)
+            data.append(([line for line, _ in read], [y for _, y in read], int(n)))
+        model = crf.train_runs(data, e.c1, e.c2, rounds)
+        seen = sorted({y for _, ys, _ in data for y in ys})
+        return pd.DataFrame({"experiment": [key[0]], "split": [int(key[1])], "seen": [json.dumps(seen)], "model": [model and model.pruned().dump()]})
+
+    learned = runs.groupBy("experiment", "split").applyInPandas(learn, "experiment string, split int, seen string, model string").collect()
+    models: dict[tuple[str, int], tuple[crf.Labeller | None, list[str]]] = {(e.name, s): (None, []) for e in tried for s in splits}
+    models |= {(r["experiment"], r["split"]): (crf.Labeller.load(r["model"]) if r["model"] else None, json.loads(r["seen"])) for r in learned}
+    return documents.mapInPandas(_marginals(tried, models, classes), "experiment string, split int, document string, pos long, gold string, marginals array<double>")
 
 
 def learning_runs(lines: DataFrame, budgets: list[int], seeds: int, classes: list[str], groups: tuple[str, ...] | None = None, rounds: int = crf.ROUNDS) -> DataFrame:
