@@ -65,5 +65,6 @@ def test_held_lines_are_scored_by_the_other_splits(spark):
                     assert np.allclose(found[d, r[1]]["marginals"], want, atol=1e-6)
 
 
-def test_the_accuracy_query_learns_to_the_end():
-    assert "rounds" not in inspect.getsource(audit_queries.cross_validated_accuracy)
+def test_the_queries_learn_to_the_end():
+    for query in (audit_queries.cross_validated_accuracy, audit_queries.cross_validation):
+        assert "rounds" not in inspect.getsource(query)
