@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -12,7 +15,7 @@ from foliospark.functions.similarity import jaro_winkler
 from foliospark.functions.text import title_level
 from foliospark.operators import blocks
 from foliospark.operators.graph import components
-from foliospark.operators.sequence import align
+from foliospark.operators.sequence import align_rows
 
 THRESHOLD = 0.8
 
@@ -82,6 +85,21 @@ def align_pair(left: DataFrame, right: DataFrame, patch: DataFrame | None = None
     return auto.unionByName(manual.select(*[F.col(c).cast(auto.schema[c].dataType) for c in auto.columns]))
 
 
+def _key_rows(left: list[str], right: list[str]) -> Iterator[np.ndarray]:
+    """Row after row of the keys' similarities; two keys are compared once, and rows of a key that comes again are held."""
+    names = list(dict.fromkeys(right))
+    of, often = {y: k for k, y in enumerate(names)}, Counter(left)
+    at = np.array([of[y] for y in right], dtype=np.int64)
+    held: dict[str, np.ndarray] = {}
+    for x in left:
+        row = held.get(x)
+        if row is None:
+            row = np.array([jaro_winkler(x, y) for y in names], dtype=float)
+            if often[x] > 1:
+                held[x] = row
+        yield row[at]
+
+
 def align_sections(left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, pair: str = "pair") -> DataFrame:
     """pair, left_run, right_run: sections (pair, run, section, section_uuid) of two editions paired in order by their keys.
 
@@ -91,7 +109,7 @@ def align_sections(left: DataFrame, right: DataFrame, threshold: float = THRESHO
 
     def work(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         a, b = a.sort_values("run"), b.sort_values("run")
-        found = align(np.array([[jaro_winkler(x, y) for y in b["section"]] for x in a["section"]]).reshape(len(a), len(b)), threshold)
+        found = align_rows(_key_rows(a["section"].tolist(), b["section"].tolist()), len(a), len(b), threshold)
         return pd.DataFrame({pair: [key[0]] * len(found), "left_run": a["run"].to_numpy()[[i for i, _ in found]], "right_run": b["run"].to_numpy()[[j for _, j in found]]})
 
     kind = left.schema[pair].dataType.simpleString()
