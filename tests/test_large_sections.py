@@ -60,7 +60,7 @@ def test_repeated_records_are_not_expanded(spark, tmp_path):
     from tests.compare import same
 
     sf_dir = repeated(tmp_path, 12)
-    for name in ("candidates_mutual_best",):
+    for name in ("candidates_mutual_best", "inversions"):
         assert same(QUERIES[name](spark, sf_dir), SQL[name], sf_dir) > 0
         # all pairs inside segments are about 58,000 here
         assert 0 < most_rows(QUERIES[name](spark, sf_dir)) < 12_000
