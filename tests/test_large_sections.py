@@ -72,7 +72,7 @@ def test_pairs_are_made_of_names_at_the_end(spark, tmp_path):
     from tests.compare import same
 
     sf_dir = repeated(tmp_path, 12)
-    for name in ("similarity_pairs",):
+    for name in ("similarity_pairs", "rival_margin"):
         assert same(QUERIES[name](spark, sf_dir), SQL[name], sf_dir) > 50_000
         # joins make pairs of names; all pairs inside segments are about 58,000 here
         assert 0 < most_rows(QUERIES[name](spark, sf_dir)) < 12_000
