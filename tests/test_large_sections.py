@@ -81,3 +81,28 @@ def test_pairs_are_made_of_names_at_the_end(spark, tmp_path):
     known = spark.createDataFrame([("x", "z", 0.5), ("y", "z", 0.25)], "a string, b string, sim double")
     got = [tuple(r) for r in links.pairs_by_name(left, right, known, chunk=2).collect()]
     assert sorted(got) == [("s", i, j, (0.5, 0.25)[i % 2]) for i in range(7) for j in range(5)]
+
+
+def test_alignment_without_tables():
+    rng = np.random.default_rng(5)
+    for n, m in ((0, 3), (1, 1), (7, 9), (40, 35), (60, 80)):
+        for levels in (3, 8, 1000):
+            sims = (rng.integers(0, levels, (n, m)) / max(levels - 1, 1)).astype(np.float32)
+            for threshold in (0.25, 0.75):
+                cells = ((np.flatnonzero(r - threshold > 0), (r - threshold)[r - threshold > 0]) for r in sims)
+                pairs = S.align_gains(cells, m)
+                assert pairs == S.align(sims, threshold)
+                assert S.residual_rows(lambda i, cols: sims[i, cols], n, m, pairs[::2], np.float32(0.9)) == S.residual(sims, pairs[::2], np.float32(0.9))
+
+
+def test_repeated_records_are_compared_once(spark, monkeypatch):
+    """Links of a section whose records come many times are those of all pairs, and cells are made of distinct contents."""
+    from foliospark.operators import alignment as A
+    from tests.test_alignment import plain_links, rows_of
+
+    side = lambda s, n: spark.createDataFrame([("s", k, f"{s}{k}", ["ring", "bolt", "rung", ""][k % 4], f"rue {k % 3 * 7}") for k in range(n)], "segment string, order long, uuid string, subj string, text string")
+    left, right, made, plain = side("a", 60), side("b", 50), [], A.cells
+    monkeypatch.setattr(A, "cells", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    got = {(r["segment"], r["left_uuid"], r["right_uuid"], round(r["score"], 5), r["source"]) for r in A.align(left, right, A.Params(context=False))[0].collect()}
+    assert got == plain_links(rows_of(left), rows_of(right), A.Params(context=False)) and got
+    assert 0 < made[0].count() <= 12 * 12
