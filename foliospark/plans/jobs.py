@@ -170,9 +170,9 @@ def pair_sections(left: DataFrame, right: DataFrame, patch: DataFrame | None = N
 
 def dedupe(left: DataFrame, right: DataFrame, training: DataFrame, patch: DataFrame | None = None, corresponding: DataFrame | None = None, threshold: float = linking.THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Learned links before and after a patch. training: left_uuid, right_uuid, match (1 or 0) of pairs that people judged."""
-    pairs = linking.compared(left, right)
-    model = linking.learn(pairs.join(training.select("left_uuid", "right_uuid", "match"), ["left_uuid", "right_uuid"]))
-    raw = linking.link(pairs, model, threshold).select("left_uuid", "right_uuid", "score", F.lit(alignment.LEARNED).alias("source"))
+    judged = [df.join(training.select(F.col(f"{side}_uuid").alias("uuid")).distinct(), "uuid", "left_semi") for df, side in ((left, "left"), (right, "right"))]
+    model = linking.learn(linking.compared(*judged).join(training.select("left_uuid", "right_uuid", "match"), ["left_uuid", "right_uuid"]))
+    raw = linking.link(left, right, model, threshold).select("left_uuid", "right_uuid", "score", F.lit(alignment.LEARNED).alias("source"))
     return raw, patched(raw, left, right, patch, corresponding)
 
 

@@ -106,3 +106,61 @@ def test_repeated_records_are_compared_once(spark, monkeypatch):
     got = {(r["segment"], r["left_uuid"], r["right_uuid"], round(r["score"], 5), r["source"]) for r in A.align(left, right, A.Params(context=False))[0].collect()}
     assert got == plain_links(rows_of(left), rows_of(right), A.Params(context=False)) and got
     assert 0 < made[0].count() <= 12 * 12
+
+
+def test_transport_of_copies():
+    rng = np.random.default_rng(7)
+    for n, m in ((1, 1), (4, 3), (6, 9), (12, 12)):
+        for levels in (2, 5, 1000):
+            supply, demand = rng.integers(1, 5, n), rng.integers(1, 5, m)
+            gain = rng.integers(0, levels, (n, m)) / levels * (rng.random((n, m)) < 0.7)
+            i, j = np.nonzero(gain)
+            met = S.transport(supply, demand, np.searchsorted(i, np.arange(n + 1)), j, gain[i, j])
+            dealt = np.zeros((n, m), dtype=int)
+            for a, b, k in met:
+                dealt[a, b] += k
+            assert (dealt.sum(axis=1) <= supply).all() and (dealt.sum(axis=0) <= demand).all() and (gain[dealt > 0] > 0).all()
+            single = np.repeat(np.repeat(gain, supply, axis=0), demand, axis=1)
+            assert abs((dealt * gain).sum() - sum(single[a, b] for a, b in S.assignment(single))) < 1e-9
+
+
+def test_repeated_records_are_linked_by_contents(spark, monkeypatch):
+    """Similarities are those of contents, counted and dealt out as often as their records make pairs."""
+    from collections import Counter
+    from types import SimpleNamespace
+
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    from foliospark.operators import linking as LK
+
+    side = lambda s, n, of: spark.createDataFrame([("s", k, f"{s}{k}", f"T{k % 2}", ["ring", "Bolt", "rung", ""][k % 4], f"rue {k % of * 7}") for k in range(n)], "segment string, order long, uuid string, section string, subj string, text string")
+    left, right, made, plain = side("a", 60, 3), side("b", 50, 6), [], LK.tiles
+    pairs = LK.compared(left, right).withColumn("match", (F.substring("left_uuid", 2, 9) == F.substring("right_uuid", 2, 9)).cast("int")).persist()
+    every = pairs.collect()
+    assert len(every) > 1000
+    monkeypatch.setattr(LK, "tiles", lambda a, b: made.append(a.count() * b.count()) or plain(a, b))
+    judged = left.where("order % 2 = 0")
+    same = judged.select(F.col("uuid").alias("left_uuid"), "order").join(right.select(F.col("uuid").alias("right_uuid"), "order"), "order")
+    rows = LK.counted(left, right, judged, same)
+    got = {(r["section"], r["subj"], r["text"], r["match"]): r["n"] for r in rows.collect()}
+    assert got == Counter((r["section"], r["subj"], r["text"], r["match"]) for r in every if int(r["left_uuid"][1:]) % 2 == 0)
+    model = LK.learn(rows, count="n")
+    own = pairs.where("substring(left_uuid, 2) % 2 = 0")
+    n = Counter(r["match"] for r in own.collect())
+    weighted = VectorAssembler(inputCols=LK.FIELDS, outputCol="x").transform(own.withColumn("w", F.when(F.col("match") == 1, n.total() / 2 / n[1]).otherwise(n.total() / 2 / n[0])))
+    single = LogisticRegression(featuresCol="x", labelCol="match", weightCol="w", regParam=0.01).fit(weighted)
+    assert np.allclose(model.coefficients.toArray(), single.coefficients.toArray(), rtol=1e-3) and abs(model.intercept - single.intercept) < 1e-2
+    made.clear()
+    for weights, free in ((model.coefficients.toArray(), model.intercept), (np.array([1.0, -2.0, 3.0]), -1.5)):
+        score = {(int(r["left_uuid"][1:]), int(r["right_uuid"][1:])): 1 / (1 + np.exp(-(free + weights @ [r[f] for f in LK.FIELDS]))) for r in every}
+        table = np.zeros((60, 50))
+        for (i, j), p in score.items():
+            table[i, j] = p if p >= LK.THRESHOLD else 0
+        found = [(int(r["left_uuid"][1:]), int(r["right_uuid"][1:]), r["score"]) for r in LK.link(left, right, SimpleNamespace(coefficients=SimpleNamespace(toArray=lambda w=weights: w), intercept=free)).collect()]
+        assert found and len({i for i, _, _ in found}) == len({j for _, j, _ in found}) == len(found)
+        assert all(abs(p - table[i, j]) < 1e-9 and p >= LK.THRESHOLD for i, j, p in found)
+        assert abs(sum(p for *_, p in found) - sum(table[i, j] for i, j in S.assignment(table))) < 1e-9
+    # 60 by 50 records are 12 by 12 contents
+    assert made and max(made) <= 12 * 12
